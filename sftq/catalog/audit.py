@@ -2,10 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from sftq.catalog.records import parsed
 from sftq.catalog.registry import query
 from sftq.operators import audit as A
 from sftq.plans.audit import audit_records, measure_records
+from sftq.sources.jsonl import parse_records as parsed
 
 
 def audited(t):

@@ -4,12 +4,12 @@ import json
 
 from pyspark.sql import functions as F
 
-from sftq.catalog.records import parsed
 from sftq.catalog.registry import query
 from sftq.functions.formats import norm_format
 from sftq.operators import judge as J
 from sftq.operators.records import extract_pair
 from sftq.plans.evaluate import check_grammar, evaluate_records, judged_prompt
+from sftq.sources.jsonl import parse_records as parsed
 
 MODEL = "stub"
 

@@ -5,13 +5,9 @@ from pyspark.sql import functions as F
 from sftq.catalog.registry import query
 from sftq.functions.formats import norm_format as canonical
 from sftq.operators import records as R
-from sftq.sources.jsonl import parse_record
+from sftq.sources.jsonl import parse_records as parsed
 
 
-def parsed(df):
-    """Rows with the raw text parsed once."""
-    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    return df.withColumn("record", parse_record(F.col("raw")))
 
 
 @query(

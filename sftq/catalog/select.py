@@ -2,9 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from sftq.catalog.records import parsed
 from sftq.catalog.registry import query
 from sftq.operators import select as S
+from sftq.sources.jsonl import parse_records as parsed
 
 SHIPPED = {"csv": 80, "json": 80, " Yaml": 80, "toml": 80, "xml": 80}
 

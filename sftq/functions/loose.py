@@ -13,8 +13,9 @@ from sftq.functions.whitespace import strip
 BIGGEST = 2**63 - 1
 
 
-def item(value: Column, name: str) -> Column:
-    return F.variant_get(value, f"$.{name}", "variant")
+def item(value: Column, path: str) -> Column:
+    """The value at a dotted path of keys; null where one is missing or not an object's."""
+    return F.variant_get(value, f"$.{path}", "variant")
 
 
 def has_key(value: Column, name: str) -> Column:

@@ -11,10 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sftq.functions.formats import norm_format
+from sftq.functions.staging import once
 from sftq.functions.whitespace import (
     BLANK,
     LINE_BREAK,
-    LINE_START,
     LINE_END,
     NOT_BREAK,
     SAME_LINE,
@@ -32,13 +32,20 @@ FIRST_MARKER = rf"(?imud)^{SAME_LINE}*+(?:output|answer|final){SPACE}*+:{SAME_LI
 FENCED_BLOCK = rf"(?s)```[a-zA-Z0-9_\-]*+{SPACE}*\n(.*?)\n```"
 FENCE_LINE = rf"(?md)^{SPACE}*```[a-zA-Z0-9_\-]*+{SPACE}*$"
 
-# First line that looks structured, and all that follows it.
-STRUCTURED_TAIL = {
-    "YAML": rf"(?s){LINE_START}(?:{BLANK}*+-|[^:{NOT_BREAK}]*+:).*",
-    "TOML": rf"(?s){LINE_START}{BLANK}*+"
-    rf"(?:\[[^{NOT_BREAK}]*\]{BLANK}*+{LINE_END}|(?!#)[^={NOT_BREAK}]*+=).*",
-    "CSV": rf"(?s){LINE_START}{BLANK}*+[^,\t{NOT_BREAK}]*+"
-    rf"(?:,|\t{BLANK}*+[^\s\x1c-\x1f\x85\p{{Z}}]).*",
+# From the first bracket on, or everything when there is none.
+JSON_TAIL = r"(?s)[{\[].*|\A[^{\[]*+\z"
+
+# How a structured line starts or what it holds, read from the start of the line.
+STRUCTURED_LINE = {
+    "YAML": rf"(?:{BLANK}*+-|[^:{NOT_BREAK}]*+:)",
+    "TOML": rf"{BLANK}*+(?:\[[^{NOT_BREAK}]*\]{BLANK}*+{LINE_END}|(?!#)[^={NOT_BREAK}]*+=)",
+    "CSV": rf"{BLANK}*+[^,\t{NOT_BREAK}]*+(?:,|\t{BLANK}*+[^\s\x1c-\x1f\x85\p{{Z}}])",
+}
+
+# The lines before the first structured one; no match when there is none.
+LEADING_PROSE = {
+    kind: rf"\A(?:(?!{line})[^{NOT_BREAK}]*+(?:{LINE_BREAK}))*+(?={line})"
+    for kind, line in STRUCTURED_LINE.items()
 }
 
 
@@ -57,22 +64,24 @@ def last_fenced_block(text: Column) -> Column:
     return strip(F.coalesce(F.when(text.contains(FENCE_MARK), _last(blocks)), text))
 
 
-def json_start(text: Column) -> Column:
-    """1-based position of the first ``{`` or ``[``, null when there is none."""
-    return F.least(
-        F.nullif(F.instr(text, "{"), F.lit(0)), F.nullif(F.instr(text, "["), F.lit(0))
-    )
-
-
 def json_substring(text: Column) -> Column:
     """From the first ``{`` or ``[`` to the end, empty when there is none."""
-    return F.coalesce(strip(F.substr(text, json_start(text))), F.lit(""))
+    return strip(F.regexp_extract(text, r"(?s)[{\[].*", 0))
 
 
 def xml_substring(text: Column) -> Column:
     """From the first ``<`` to the end, empty when there is none."""
-    start = F.nullif(F.instr(text, "<"), F.lit(0))
-    return F.coalesce(strip(F.substr(text, start)), F.lit(""))
+    return F.when(text.contains("<"), strip(F.substr(text, F.instr(text, "<")))).otherwise("")
+
+
+def json_tail(text: Column) -> Column:
+    """As ``json_substring``, but the whole text when there is no bracket."""
+    return F.regexp_extract(text, JSON_TAIL, 0)
+
+
+def xml_tail(text: Column) -> Column:
+    """As ``xml_substring``, but the whole text when there is no tag: position 0 is the start."""
+    return F.substr(text, F.instr(text, "<"))
 
 
 def drop_leading_prose(text: Column, kind: str) -> Column:
@@ -80,8 +89,7 @@ def drop_leading_prose(text: Column, kind: str) -> Column:
 
     The whole text stays when no line does. Line breaks become ``\\n``.
     """
-    tail = F.regexp_extract(text, STRUCTURED_TAIL[kind], 0)
-    kept = F.coalesce(F.nullif(tail, F.lit("")), text)
+    kept = F.regexp_replace(text, LEADING_PROSE[kind], "")
     return strip(F.regexp_replace(kept, LINE_BREAK, "\n"))
 
 
@@ -97,19 +105,20 @@ def extract_final_output(
 ) -> DataFrame:
     """Add ``out``: last marker, then last fence, then the format's own heuristic."""
     t = F.col("_t")
-    or_text = lambda found: F.coalesce(F.nullif(found, F.lit("")), t)
     return (
         df.withColumn("_t", after_last_marker(F.coalesce(F.col(text), F.lit(""))))
         .withColumn("_t", last_fenced_block(t))
         .withColumn("_f", norm_format(F.col(fmt)))
         .withColumn(
             out,
-            F.when(F.col("_f") == "JSON", or_text(json_substring(t)))
-            .when(F.col("_f") == "XML", or_text(xml_substring(t)))
-            .when(F.col("_f") == "YAML", drop_leading_prose(t, "YAML"))
-            .when(F.col("_f") == "TOML", drop_leading_prose(t, "TOML"))
-            .when(F.col("_f") == "CSV", drop_leading_prose(t, "CSV"))
-            .otherwise(t),
+            once(
+                F.when(F.col("_f") == "JSON", json_tail(t))
+                .when(F.col("_f") == "XML", xml_tail(t))
+                .when(F.col("_f") == "YAML", drop_leading_prose(t, "YAML"))
+                .when(F.col("_f") == "TOML", drop_leading_prose(t, "TOML"))
+                .when(F.col("_f") == "CSV", drop_leading_prose(t, "CSV"))
+                .otherwise(t)
+            ),
         )
         .drop("_t", "_f")
     )
@@ -123,8 +132,8 @@ def extract_payload(
     block = _last(F.regexp_extract_all(t, F.lit(FENCED_BLOCK), F.lit(1)))
     rest = F.get(F.split(t, FIRST_MARKER, 2), F.lit(1))
     by_format = (
-        F.when(f == "JSON", F.coalesce(F.substr(t, json_start(t)), t))
-        .when(f == "XML", F.coalesce(F.nullif(xml_substring(t), F.lit("")), t))
+        F.when(f == "JSON", json_tail(t))
+        .when(f == "XML", xml_tail(t))
         .otherwise(strip_fence_lines(t))
     )
     return (
@@ -132,7 +141,7 @@ def extract_payload(
         .withColumn("_f", norm_format(F.col(fmt)))
         .withColumn(
             out,
-            F.coalesce(F.when(t.contains(FENCE_MARK), strip(block)), strip(rest), by_format),
+            once(F.coalesce(F.when(t.contains(FENCE_MARK), strip(block)), strip(rest), by_format)),
         )
         .drop("_t", "_f")
     )

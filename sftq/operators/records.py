@@ -19,9 +19,9 @@ PAIRED, CHAT, UNKNOWN = "u10bei", "daichira", "unknown"
 
 def detect_family(record: Column) -> Column:
     """By shape: metadata with prompt and output, else a messages list."""
-    metadata = item(record, "metadata")
+    paired = has_key(record, "metadata.prompt") & has_key(record, "metadata.output")
     return (
-        F.when(has_key(metadata, "prompt") & has_key(metadata, "output"), PAIRED)
+        F.when(paired, PAIRED)
         .when(as_list(item(record, "messages")).isNotNull(), CHAT)
         .otherwise(UNKNOWN)
     )
@@ -43,12 +43,10 @@ def last_role_content(messages: Column, role: str) -> Column:
     return F.coalesce(last["content"], F.lit(""))
 
 
-def last_role_text(messages: Column, role: str) -> Column:
-    """The same on a VARIANT list of message objects."""
-    said = F.filter(
-        as_list(messages), lambda m: F.try_variant_get(m, "$.role", "string") == role
-    )
-    return text_or_empty(item(F.try_element_at(said, F.lit(-1)), "content"))
+def last_role_value(messages: Column, role: str) -> Column:
+    """The same on ``ARRAY<VARIANT>`` of message objects, as VARIANT."""
+    said = F.filter(messages, lambda m: F.try_variant_get(m, "$.role", "string") == role)
+    return item(F.try_element_at(said, F.lit(-1)), "content")
 
 
 def last_turn(role: str, text: str = "text", turn: str = "turn", role_col: str = "role") -> Column:
@@ -64,19 +62,31 @@ def last_turn(role: str, text: str = "text", turn: str = "turn", role_col: str =
 
 def extract_pair(df: DataFrame, record: str = "record") -> DataFrame:
     """Add ``family, prompt, output, output_format``."""
-    r = F.col(record)
-    messages = item(r, "messages")
-    by_family = lambda key, role: (
-        F.when(F.col("family") == PAIRED, text_or_empty(F.variant_get(r, f"$.metadata.{key}", "variant")))
-        .when(F.col("family") == CHAT, last_role_text(messages, role))
-        .otherwise("")
-    )
-    return df.withColumn("family", detect_family(r)).withColumns(
-        {
-            "prompt": by_family("prompt", "user"),
-            "output": by_family("output", "assistant"),
-            "output_format": text_or_empty(item(r, "output_format")),
-        }
+    r, family = F.col(record), F.col("family")
+
+    def found(key: str, role: str) -> Column:
+        return F.when(family == PAIRED, item(r, f"metadata.{key}")).when(
+            family == CHAT, last_role_value(F.col("_messages"), role)
+        )
+
+    return (
+        df.withColumn("family", detect_family(r))
+        .withColumn("_messages", F.when(family == CHAT, as_list(item(r, "messages"))))
+        .withColumns(
+            {
+                "_prompt": found("prompt", "user"),
+                "_output": found("output", "assistant"),
+                "_label": item(r, "output_format"),
+            }
+        )
+        .withColumns(
+            {
+                "prompt": text_or_empty(F.col("_prompt")),
+                "output": text_or_empty(F.col("_output")),
+                "output_format": text_or_empty(F.col("_label")),
+            }
+        )
+        .drop("_messages", "_prompt", "_output", "_label")
     )
 
 
@@ -110,29 +120,30 @@ def explode_bundles(
 
 def split_members(df: DataFrame, record: str = "record") -> DataFrame:
     """Split bundled records: adds ``family, j, metadata, messages`` (``j`` null if not bundled)."""
-    md, ms = item(F.col(record), "metadata"), item(F.col(record), "messages")
-    md_list, ms_list = as_list(md), as_list(ms)
+    md, ms, md_list, ms_list = (F.col(c) for c in ("_md", "_ms", "_md_list", "_ms_list"))
     first = F.get(ms_list, F.lit(0))
-    nested = as_list(first).isNotNull()
+    nested = F.coalesce(as_list(first).isNotNull(), F.lit(False))
     paired = F.col("family") == PAIRED
-    bundled = paired & md_list.isNotNull() & F.coalesce(nested, F.lit(False))
+    size = F.least(F.size(md_list), F.size(ms_list))
 
     def member(j: Column, metadata: Column, messages: Column) -> Column:
         return F.struct(j.alias("j"), metadata.alias("metadata"), messages.alias("messages"))
 
-    positions = F.when(
-        F.least(F.size(md_list), F.size(ms_list)) > 0,
-        F.sequence(F.lit(0), F.least(F.size(md_list), F.size(ms_list)) - 1),
-    )
+    positions = F.when(size > 0, F.sequence(F.lit(0), size - 1))
     many = F.transform(positions, lambda j: member(j, F.get(md_list, j), F.get(ms_list, j)))
     one_md = F.when(as_dict(md).isNotNull(), md).otherwise(F.get(md_list, F.lit(0)))
-    one_ms = F.when(paired & nested, first).otherwise(ms)
-    one = F.array(member(F.lit(None).cast("int"), one_md, one_ms))
+    one = F.array(
+        member(F.lit(None).cast("int"), one_md, F.when(paired & nested, first).otherwise(ms))
+    )
+    r = F.col(record)
     return (
-        df.withColumn("family", detect_family_audit(F.col(record)))
-        .withColumn("_m", F.explode(F.when(bundled, many).otherwise(one)))
+        df.withColumn("family", detect_family_audit(r))
+        .withColumns({"_md": item(r, "metadata"), "_ms": item(r, "messages")})
+        .withColumns({"_md_list": as_list(md), "_ms_list": as_list(ms)})
+        .withColumn("_bundled", paired & md_list.isNotNull() & nested)
+        .withColumn("_m", F.explode(F.when(F.col("_bundled"), many).otherwise(one)))
         .withColumns({c: F.col(f"_m.{c}") for c in ("j", "metadata", "messages")})
-        .drop("_m")
+        .drop("_m", "_md", "_ms", "_md_list", "_ms_list", "_bundled")
     )
 
 
@@ -147,6 +158,7 @@ def record_infos(df: DataFrame, record: str = "record", row: str = "i") -> DataF
 
     return (
         split_members(df, record)
+        .withColumn("_said", last_role_value(as_list(F.col("messages")), "assistant"))
         .withColumns(
             {
                 "idx": F.concat_ws(":", F.col(row).cast("string"), F.col("j").cast("string")),
@@ -159,9 +171,10 @@ def record_infos(df: DataFrame, record: str = "record", row: str = "i") -> DataF
                 "task_schema": by_family(
                     or_unknown(about("schema")), or_unknown(field("subcategory")), UNKNOWN
                 ),
-                "assistant_text": last_role_text(F.col("messages"), "assistant"),
+                "assistant_text": text_or_empty(F.col("_said")),
             }
         )
+        .drop("_said")
         .withColumn(
             "task_key",
             task_key(family, F.col("output_format"), F.col("task_kind"), F.col("task_schema")),

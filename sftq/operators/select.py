@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sftq.functions.formats import FORMATS, upper_label
-from sftq.functions.loose import as_dict, int_or_null, item, text_or_empty, truth
+from sftq.functions.loose import int_or_null, item, text_or_empty, truth
+from sftq.functions.staging import once
 
 DEFAULT_MIN_SCORE = 90  # fixed value: for each known format when no threshold is given
 
@@ -17,21 +18,28 @@ TOP_K_ROWS = 100_000
 CHUNK_ROWS = 65_536
 
 
-def score_of(record: Column) -> Column:
-    """The judge's score as an integer, 0 where it is missing or not one."""
-    judged = item(item(record, "evaluation"), "llm")
-    return F.when(as_dict(judged).isNotNull(), F.coalesce(int_or_null(item(judged, "score")), F.lit(0))).otherwise(0)
-
-
 def score_and_format(df: DataFrame, record: str = "record") -> DataFrame:
-    """Add ``usable``, ``score`` and ``format`` (upper-cased only, aliases stay as they are)."""
-    r = F.col(record)
-    return df.withColumns(
-        {
-            "usable": truth(item(item(r, "evaluation"), "usable")),
-            "score": score_of(r),
-            "format": upper_label(text_or_empty(item(r, "output_format"))),
-        }
+    """Add ``usable``, ``score`` and ``format`` (upper-cased only, aliases stay as they are).
+
+    The score is 0 where it is missing or not an integer.
+    """
+    r, usable, score, label = F.col(record), F.col("_usable"), F.col("_score"), F.col("_label")
+    return (
+        df.withColumns(
+            {
+                "_usable": item(r, "evaluation.usable"),
+                "_score": item(r, "evaluation.llm.score"),
+                "_label": item(r, "output_format"),
+            }
+        )
+        .withColumns(
+            {
+                "usable": once(truth(usable)),
+                "score": once(F.coalesce(int_or_null(score), F.lit(0))),
+                "format": once(upper_label(text_or_empty(label))),
+            }
+        )
+        .drop("_usable", "_score", "_label")
     )
 
 

@@ -28,13 +28,12 @@ VERDICT = T.StructType().add("ok", T.BooleanType()).add("reason", T.StringType()
 CSV_FIELD_LIMIT = 131072  # fixed value: Python's csv field size limit
 
 
-def json_is_plain(payload: Column) -> Column:
+def json_is_plain(payload: Column, digest: Column) -> Column:
     """True only for well-formed JSON; false also for what Spark's parser is stricter on.
 
-    The payload becomes the first of two array items. The second is its own digest,
-    so trailing text or a second value cannot stand in for it.
+    The payload becomes the first of two array items. The second is its own SHA-1
+    (``digest``), so trailing text or a second value cannot stand in for it.
     """
-    digest = F.sha1(payload)
     pair = F.try_parse_json(F.concat(F.lit("["), payload, F.lit(',"'), digest, F.lit('"]')))
     return F.coalesce(F.try_variant_get(pair, "$[1]", "string") == digest, F.lit(False))
 
@@ -98,7 +97,7 @@ def _parse(fmt: str | None, payload: str | None) -> tuple[bool | None, str | Non
 
 
 @F.arrow_udf(VERDICT)
-def parser_verdict(fmt: pa.Array, payload: pa.Array) -> pa.Array:
+def _parser_verdict(fmt: pa.Array, payload: pa.Array) -> pa.Array:
     """``(ok, reason)`` from the Python parser of each row's format; null for null input."""
     verdicts = [_parse(f, p) for f, p in zip(fmt.to_pylist(), payload.to_pylist())]
     ok, reason = zip(*verdicts) if verdicts else ((), ())
@@ -107,6 +106,10 @@ def parser_verdict(fmt: pa.Array, payload: pa.Array) -> pa.Array:
     )
 
 
+# Non-deterministic to Spark, so that a filter on the verdict does not parse again.
+parser_verdict = _parser_verdict.asNondeterministic()
+
+
 def _verdict(ok: Column, reason: Column) -> Column:
     return F.struct(ok.alias("ok"), reason.alias("reason"))
 
@@ -120,9 +123,10 @@ def parse_verdict(
     """
     p, f, plain, slow = F.col(payload), F.col(fmt), F.col("_plain"), F.col("_slow")
     return (
-        df.withColumn(
+        df.withColumn("_digest", F.when(f == "JSON", F.sha1(p)))
+        .withColumn(
             "_plain",
-            F.when(f == "JSON", json_is_plain(p))
+            F.when(f == "JSON", json_is_plain(p, F.col("_digest")))
             .when(f == "CSV", csv_is_plain(p))
             .otherwise(False),
         )
@@ -136,7 +140,7 @@ def parse_verdict(
             .when(slow.isNotNull(), F.col("_parsed"))
             .otherwise(_verdict(F.lit(False), F.concat(F.lit("unknown_format: "), f))),
         )
-        .drop("_plain", "_slow", "_parsed")
+        .drop("_digest", "_plain", "_slow", "_parsed")
     )
 
 

@@ -5,24 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sftq.functions.staging import once
 from sftq.functions.whitespace import strip
 
 
-def parse_record(raw: Column) -> Column:
-    """One JSON object per text as VARIANT; anything malformed fails the job.
+def parse_records(df: DataFrame, raw: str = "raw", out: str = "record") -> DataFrame:
+    """Add ``out``: one JSON object per text as VARIANT; anything malformed fails the job.
 
     The text is wrapped as the first of two array items, so trailing text is noticed.
-    Duplicate keys need ``spark.sql.variant.allowDuplicateKeys`` (the last one wins).
+    The last of duplicate keys wins (a session setting of Spark's reader).
     """
-    pair = F.concat(F.lit("["), raw, F.lit(',"end"]'))
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    text, pair = F.col(raw), F.col("_pair")
+    items = F.concat(F.lit("["), text, F.lit(',"end"]'))
     # The second reader also takes NaN and Infinity, and raises for what is left.
     strict = {"singleVariantColumn": "pair", "mode": "FAILFAST"}
-    parsed = F.coalesce(F.try_parse_json(pair), F.from_json(pair, "pair variant", strict)["pair"])
-    whole = F.try_variant_get(parsed, "$[1]", "string") == "end"
-    trailing = F.raise_error(F.concat(F.lit("malformed record: "), F.substring(raw, 1, 200)))
-    return F.when(whole, F.variant_get(parsed, "$[0]", "variant")).otherwise(
-        trailing.cast("variant")
-    )
+    read = F.coalesce(F.try_parse_json(items), F.from_json(items, "pair variant", strict)["pair"])
+    whole = F.try_variant_get(pair, "$[1]", "string") == "end"
+    trailing = F.raise_error(F.concat(F.lit("malformed record: "), F.substring(text, 1, 200)))
+    record = F.when(whole, F.variant_get(pair, "$[0]", "variant")).otherwise(trailing.cast("variant"))
+    return df.withColumn("_pair", read).withColumn(out, once(record)).drop("_pair")
 
 
 def relative_path(file_path: Column, root: str) -> Column:
@@ -41,7 +43,6 @@ def scan_records(
     lines are numbered upwards within each split rather than from the top of the file.
     ``raw`` keeps the line as it is and ``record`` is its parsed form.
     """
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     lines = (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
@@ -54,7 +55,7 @@ def scan_records(
         )
         .where("raw <> ''")
     )
-    return lines.withColumn("record", parse_record(F.col("raw"))) if parse else lines
+    return parse_records(lines) if parse else lines
 
 
 def scan_order() -> list[Column]:
