@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from sftq.catalog.registry import query
+from sftq.functions.whitespace import unix_lines
 from sftq.operators import audit as A
 from sftq.plans.audit import audit_records, measure_records
 from sftq.sources.jsonl import parse_records as parsed
@@ -75,7 +76,7 @@ def toml_structure(t):
     payload = F.col("payload")
     rows = t.sft_payloads.where("fmt = 'TOML'").select(F.col("doc_id").alias("record_id"), "payload")
     rows = rows.withColumn("_strings", A.toml_json_candidates(payload)).withColumns(
-        {"s": A.toml_structure(payload), "json_stringified_like": A.any_json(F.col("_strings"))}
+        {"s": A.toml_structure(unix_lines(payload)), "json_stringified_like": A.any_json(F.col("_strings"))}
     )
     return rows.select("record_id", "s.*", "json_stringified_like")
 

@@ -6,6 +6,7 @@ import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sftq.catalog.fixtures import FIXTURES
 
@@ -19,6 +20,20 @@ def _names(sql: str) -> list[str]:
     return list(dict.fromkeys(_NAME.findall(sql)))
 
 
+# Tables with whole texts, and the size per core below which their files cannot be split
+# into enough tasks.
+TEXT_TABLES = ("documents", "pages")
+SMALL_PER_CORE = 16 << 20
+
+
+def spread(df: DataFrame, path: str) -> DataFrame:
+    """Deal the rows of a small file out to all cores; large tables keep their own splits."""
+    spark = df.sparkSession
+    sizes = spark.read.format("binaryFile").load(path).agg(F.sum("length"))
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if sizes.first()[0] < cores * SMALL_PER_CORE else df
+
+
 class Tables:
     """The driver's tables and the fixtures derived from them, as attributes."""
 
@@ -29,7 +44,9 @@ class Tables:
         if name.startswith("_"):
             raise AttributeError(name)
         if name not in FIXTURES:
-            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            path = f"{self.folder}/{name}.parquet"
+            table = self.spark.read.parquet(path)
+            return spread(table, path) if name in TEXT_TABLES else table
         sql = FIXTURES[name]
         for used in _names(sql):
             getattr(self, used).createOrReplaceTempView(f"sftq_{used}")

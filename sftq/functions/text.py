@@ -20,6 +20,7 @@ from sftq.functions.whitespace import (
     SAME_LINE,
     SPACE,
     strip,
+    unix_lines,
 )
 
 FENCE_MARK = "```"
@@ -90,7 +91,7 @@ def drop_leading_prose(text: Column, kind: str) -> Column:
     The whole text stays when no line does. Line breaks become ``\\n``.
     """
     kept = F.regexp_replace(text, LEADING_PROSE[kind], "")
-    return strip(F.regexp_replace(kept, LINE_BREAK, "\n"))
+    return strip(unix_lines(kept))
 
 
 def strip_fence_lines(text: Column) -> Column:

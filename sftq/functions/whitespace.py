@@ -35,10 +35,14 @@ SPACE = f"[{_SPACES}]"
 SAME_LINE = rf"[{_SPACES}&&[^\n]]"
 BLANK = rf"[{_SPACES}&&[^{NOT_BREAK}]]"
 LINE_BREAK = rf"\r\n|[{NOT_BREAK}]"
-LINE_START = f"(?<![^{NOT_BREAK}])"
 LINE_END = f"(?![^{NOT_BREAK}])"
 
 
+def unix_lines(text: Column) -> Column:
+    """Every line break as ``\\n``, so that ``(?md)^`` finds each line's start (no lookbehind)."""
+    return F.regexp_replace(text, LINE_BREAK, "\n")
+
+
 def strip(text: Column) -> Column:
     """``str.strip()``: linear, no regex."""
     return F.btrim(text, F.lit(WHITESPACE))

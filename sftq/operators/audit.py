@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sftq.functions.whitespace import BLANK, LINE_END, LINE_START, NOT_BREAK, SPACE, strip
+from sftq.functions.whitespace import BLANK, SPACE, strip
 from sftq.operators.records import PAIRED
 
 # What is counted per format, as plain text...
@@ -187,13 +187,11 @@ def toml_json_candidates(payload: Column) -> Column:
     return F.when(has_open & payload.contains('"') & (F.size(like_json) > 0), like_json)
 
 
-def toml_structure(payload: Column) -> Column:
-    """Header counts of a TOML text: ``STRUCT`` of the five structure fields."""
-    header = (
-        rf"{LINE_START}{BLANK}*+\[(\[)?{BLANK}*([^\]{NOT_BREAK}]+?){BLANK}*\]\]?{BLANK}*{LINE_END}"
-    )
-    marks = F.regexp_extract_all(payload, F.lit(header), F.lit(1))
-    paths = F.regexp_extract_all(payload, F.lit(header), F.lit(2))
+def toml_structure(lines: Column) -> Column:
+    """Header counts of a TOML text (with unix line breaks): ``STRUCT`` of the five fields."""
+    header = rf"(?md)^{BLANK}*+\[(\[)?{BLANK}*([^\]\n]+?){BLANK}*\]\]?{BLANK}*$"
+    marks = F.regexp_extract_all(lines, F.lit(header), F.lit(1))
+    paths = F.regexp_extract_all(lines, F.lit(header), F.lit(2))
     headers = F.zip_with(
         marks,
         paths,

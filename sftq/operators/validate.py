@@ -10,6 +10,7 @@ from __future__ import annotations
 import csv
 import io
 import json
+import re
 import tomllib
 import xml.etree.ElementTree as ET
 from collections.abc import Mapping
@@ -22,7 +23,7 @@ from pyspark.sql import types as T
 
 from sftq.functions.formats import FORMATS, norm_format
 from sftq.functions.text import extract_payload
-from sftq.functions.whitespace import BLANK, LINE_BREAK, LINE_END, LINE_START, NOT_BREAK
+from sftq.functions.whitespace import BLANK, unix_lines
 
 VERDICT = T.StructType().add("ok", T.BooleanType()).add("reason", T.StringType())
 CSV_FIELD_LIMIT = 131072  # fixed value: Python's csv field size limit
@@ -54,14 +55,14 @@ def csv_is_plain(payload: Column) -> Column:
 
 def yaml_indent_canonical(text: Column, indent: int = 2) -> Column:
     """No tab in any indent, indents multiples of ``indent``, blocks open by one step."""
-    ignorable = rf"{LINE_START}{BLANK}*+(?:#[^{NOT_BREAK}]*+)?(?:{LINE_BREAK}|\z)"
-    lines = F.regexp_replace(text, ignorable, "")
-    tab = rf"{LINE_START} *+\t"
-    uneven = rf"{LINE_START}(?: {{{indent}}})*+ {{1,{indent - 1}}}(?! )"
-    opener = rf"(?:{BLANK}*+-[^{NOT_BREAK}]*+|[^{NOT_BREAK}]*:{BLANK}*+)"
-    jump = rf"{LINE_START}( *+){opener}(?:{LINE_BREAK})\1 {{{indent + 1}}}"
-    broken = f"{uneven}|{jump}" if indent > 1 else jump
-    return (text != "") & ~text.rlike(tab) & ~lines.rlike(broken)
+    ignorable = rf"{BLANK}*+(?:#|$)"
+    tab = r"^ *+\t"
+    uneven = rf"^(?: {{{indent}}})*+ {{1,{indent - 1}}}(?! )(?!{ignorable})"
+    opener = rf"(?!{BLANK}*+#)(?:{BLANK}*+-.*+|.*:{BLANK}*+)\n"
+    skipped = rf"(?:{BLANK}*+(?:#.*+)?\n)*+"
+    jump = rf"^( *+){opener}{skipped}\1 {{{indent + 1}}}(?!{ignorable})"
+    faults = [tab, uneven, jump] if indent > 1 else [tab, jump]
+    return (text != "") & ~unix_lines(text).rlike("(?md)" + "|".join(faults))
 
 
 def _csv_check(payload: str) -> None:
@@ -77,9 +78,28 @@ def _csv_check(payload: str) -> None:
             raise ValueError(f"row {number} width mismatch: {len(row)} != {len(header)}")
 
 
+# Where the C parser of YAML and the Python one, whose verdict counts, might differ:
+# tabs, rare line breaks, any token that is not a plain or quoted scalar, deep nesting.
+YAML_NOT_SIMPLE = re.compile(
+    r"[\t\x85\u2028\u2029\ufeff]|(?:^|\s)[%!&*|>@`\[{?]|^[ -]{100}", re.MULTILINE
+)
+_FastLoader = getattr(yaml, "CSafeLoader", None)
+
+
+def _yaml_check(payload: str) -> None:
+    """Simple text that the C parser takes is valid; anything else is up to the Python parser."""
+    if _FastLoader is not None and not YAML_NOT_SIMPLE.search(payload):
+        try:
+            yaml.load(payload, Loader=_FastLoader)
+            return
+        except Exception:  # the Python parser gives verdict and reason
+            pass
+    yaml.safe_load(payload)
+
+
 PARSERS = {
     "JSON": json.loads,
-    "YAML": yaml.safe_load,
+    "YAML": _yaml_check,
     "TOML": tomllib.loads,
     "XML": ET.fromstring,
     "CSV": _csv_check,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sftq.functions.formats import norm_format
 from sftq.functions.text import extract_payload
+from sftq.functions.whitespace import unix_lines
 from sftq.operators.audit import (
     any_json,
     escape_entries,
@@ -36,7 +37,12 @@ def measure_records(df: DataFrame, yaml_style: bool = True) -> DataFrame:
     structured = (F.col("output_format") == "TOML") & (F.col("family") == PAIRED)
     df = df.withColumn("format", norm_format(F.col("output_format")))
     df = extract_payload(df, "assistant_text", "format", "payload")
-    df = df.withColumn("_strings", F.when(structured, toml_json_candidates(payload)))
+    df = df.withColumns(
+        {
+            "_strings": F.when(structured, toml_json_candidates(payload)),
+            "_lines": F.when(structured, unix_lines(payload)),
+        }
+    )
     df = parse_verdict(
         df,
         "payload",
@@ -59,11 +65,11 @@ def measure_records(df: DataFrame, yaml_style: bool = True) -> DataFrame:
                 "reason": F.when(F.col("_bad_indent"), "yaml_indent_fail").otherwise(
                     F.col("_verdict.reason")
                 ),
-                "structure": F.when(structured, toml_structure(payload)),
+                "structure": toml_structure(F.col("_lines")),
                 "escapes": escape_entries(fmt, payload, F.col("inline")),
             }
         )
-        .drop("_strings", "_verdict", "_bad_indent")
+        .drop("_strings", "_lines", "_verdict", "_bad_indent")
     )
 
 
