@@ -92,5 +92,5 @@ def int_or_null(value: Column) -> Column:
         .when(kind == "BOOLEAN", F.when(text == "true", 1).otherwise(0))
         .when(kind == "BIGINT", text.try_cast("bigint"))
         .when(F.isnan(number) | (F.abs(number) == float("inf")), F.lit(None))
-        .otherwise(F.coalesce(whole, F.try_variant_get(value, "$", "decimal(38,0)").try_cast("bigint"), number.try_cast("bigint")))
+        .otherwise(F.coalesce(whole, number.try_cast("bigint")))
     )
