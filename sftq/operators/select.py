@@ -16,6 +16,7 @@ DEFAULT_MIN_SCORE = 90  # fixed value: for each known format when no threshold i
 # A limit up to this many rows is a top-k; above it chunks are counted instead.
 TOP_K_ROWS = 100_000
 CHUNK_ROWS = 65_536
+BROADCAST_DATASETS = 10_000  # one short row each; more are joined without a hint
 
 
 def score_and_format(df: DataFrame, record: str = "record") -> DataFrame:
@@ -80,38 +81,27 @@ def filter_counts(df: DataFrame, kept: Column, shard: str = "rel_path") -> DataF
     )
 
 
-def _first_by_chunks(
-    df: DataFrame, n: int, order: Sequence[Column], chunk: Mapping[str, Column], within: Sequence[str]
-) -> DataFrame:
-    """First ``n`` rows of each group by counting chunks of consecutive rows.
-
-    Chunks before the limit are kept whole and chunks after it dropped, so only the
-    one chunk per group that the limit cuts through is numbered.
-    """
-    keys = [*within, *chunk]
-    df = df.withColumns(dict(chunk))
+def _last_chunk(df: DataFrame, n: int, within: Sequence[str]) -> tuple[DataFrame, Column]:
+    """Chunk counts with the rows left for each (``_left``), and the aggregate that picks
+    the last chunk that gets any. Chunks are runs of rows, so there are few of them."""
     earlier = (
         Window.partitionBy(*within)
-        .orderBy(*chunk)
+        .orderBy("_chunk")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     left = F.lit(n) - F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
-    quota = counts.select(*[F.col(k).alias(f"_q{k}") for k in keys], "_rows", left.alias("_left"))
-    quota = quota.where("_left > 0")
-    same = [F.col(k).eqNullSafe(F.col(f"_q{k}")) for k in keys]
-    whole = quota.where("_rows <= _left")
-    cut = quota.where("_rows > _left")
-    numbered = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    columns = [c for c in df.columns if c not in chunk]
-    first = df.join(whole, same, "left_semi").select(*columns)
-    rest = (
-        df.join(cut, same)
-        .withColumn("_n", numbered)
-        .where("_n <= _left")
-        .select(*columns)
-    )
-    return first.unionByName(rest)
+    counts = df.groupBy(*within, "_chunk").agg(F.count(F.lit(1)).alias("_rows"))
+    reached = counts.withColumn("_left", left).where("_left > 0")
+    return reached, F.max(F.struct("_chunk", "_left"))
+
+
+def _cut(df: DataFrame, last: Column, order: Sequence[Column], within: Sequence[str]) -> DataFrame:
+    """Rows of the chunks before ``last``, and the first rows of that one chunk."""
+    chunk = F.col("_chunk")
+    number = F.row_number().over(Window.partitionBy(*within, chunk).orderBy(*order))
+    cut = df.withColumn("_left", last["_left"]).where(chunk == last["_chunk"])
+    cut = cut.withColumn("_n", number).where("_n <= _left")
+    return df.where(chunk < last["_chunk"]).unionByName(cut.drop("_left", "_n"))
 
 
 def limit_global(
@@ -130,7 +120,9 @@ def limit_global(
     if n <= top_k:
         return df.orderBy(parts, *lines).limit(n)
     chunk = F.floor(lines[0] / CHUNK_ROWS) if chunk is None else chunk
-    return _first_by_chunks(df, n, lines, {"_path": parts, "_chunk": chunk}, within=())
+    df = df.withColumn("_chunk", F.struct(parts, chunk))
+    reached, last = _last_chunk(df, n, ())
+    return _cut(df, reached.select(last).scalar(), lines, ()).drop("_chunk")
 
 
 def limit_per_dataset(
@@ -147,5 +139,10 @@ def limit_per_dataset(
     if n <= top_k:
         number = F.row_number().over(Window.partitionBy(dataset).orderBy(row))
         return df.withColumn("_n", number).where(F.col("_n") <= n).drop("_n")
-    chunk = F.floor(F.col(row) / CHUNK_ROWS) if chunk is None else chunk
-    return _first_by_chunks(df, n, [F.col(row)], {"_chunk": chunk}, within=[dataset])
+    df = df.withColumn("_chunk", F.floor(F.col(row) / CHUNK_ROWS) if chunk is None else chunk)
+    reached, last = _last_chunk(df, n, [dataset])
+    lasts = reached.groupBy(F.col(dataset).alias("_d")).agg(last.alias("_last"))
+    if lasts.limit(BROADCAST_DATASETS + 1).count() <= BROADCAST_DATASETS:
+        lasts = F.broadcast(lasts)
+    rows = df.join(lasts, F.col(dataset).eqNullSafe(F.col("_d")))
+    return _cut(rows, F.col("_last"), [F.col(row)], [dataset]).drop("_chunk", "_d", "_last")
