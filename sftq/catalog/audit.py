@@ -23,7 +23,7 @@ def escaped(t):
 
 def _counted_sql(fmt):
     columns = [
-        f"(length(text) - length(replace(text, '{found.replace(chr(39), chr(39) * 2)}', ''))) // {len(found)} AS {name}"
+        f"CAST((length(text) - length(replace(text, '{found.replace(chr(39), chr(39) * 2)}', ''))) // {len(found)} AS INT) AS {name}"
         for name, found in A.ESCAPE_TEXTS[fmt].items()
     ]
     patterns = {name: p.replace(r"\p{Nd}", "[0-9]") for name, p in A.ESCAPE_PATTERNS[fmt].items()}
@@ -31,12 +31,12 @@ def _counted_sql(fmt):
     bare = patterns.pop("xml_bare_amp", None)
     if "csv_quoted_newline" in patterns:
         patterns["csv_quoted_newline"] = r'"[^"]*\n[^"]*"'
-    columns += [f"len(regexp_extract_all(text, '{p}')) AS {name}" for name, p in patterns.items()]
+    columns += [f"CAST(len(regexp_extract_all(text, '{p}')) AS INT) AS {name}" for name, p in patterns.items()]
     if bare:
         valid = "&(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);"
         columns.append(
-            "length(text) - length(replace(text, '&', '')) - "
-            f"len(regexp_extract_all(text, '{valid}')) AS xml_bare_amp"
+            "CAST(length(text) - length(replace(text, '&', '')) - "
+            f"len(regexp_extract_all(text, '{valid}')) AS INT) AS xml_bare_amp"
         )
     return f"SELECT record_id, dataset, {', '.join(columns)} FROM $escape_texts e WHERE output_format = '{fmt}'"
 

@@ -170,7 +170,7 @@ def grammar_gate(t):
 # 3 only the output, 2 an empty last message and 4 no pair at all.
 @query(
     "evaluate_records",
-    f"""SELECT record_id, ok AS grammar_ok, ok AND n % 3 > 0 AS usable, CASE WHEN ok THEN n % 101 ELSE 0 END AS score,
+    f"""SELECT record_id, ok AS grammar_ok, ok AND n % 3 > 0 AS usable, CAST(CASE WHEN ok THEN n % 101 ELSE 0 END AS INT) AS score,
           CASE WHEN ok THEN 'none' ELSE 'skipped_due_to_grammar_error' END AS error,
           trim(output, ' ' || chr(10)) <> expect_payload AS changed, CASE WHEN expect_payload <> '' THEN sha1(expect_payload) ELSE '' END AS sha1,
           CASE WHEN ok THEN n END AS eval_count

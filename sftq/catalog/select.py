@@ -20,7 +20,7 @@ def scored(t):
 
 @query(
     "score_and_format",
-    f"""SELECT record_id, {_SCORE.replace('record_id % 10 <= 1', 'record_id % 10 <= 1 OR try_cast(score_text AS INT) IS NULL')} AS score,
+    f"""SELECT record_id, {_SCORE.replace('record_id % 10 <= 1', 'record_id % 10 <= 1 OR try_cast(score_text AS INT) IS NULL').replace('AS INT) END', 'AS BIGINT) END')} AS score,
          {_LABEL} AS format, coalesce(usable, false) AS usable FROM $sft_scored s""",
 )
 def score_and_format(t):

@@ -62,7 +62,9 @@ def write_by_task(df: DataFrame, path: str, save_errors: bool = False) -> None:
     rows.hint("rebalance", "status", "task_key").write.partitionBy("status", "task_key").json(path)
 
 
-def write_summary(df: DataFrame, path: str, columns: Sequence[str] | None = None) -> None:
+def write_summary(
+    df: DataFrame, path: str, columns: Sequence[str] | None = None, null_text: str = ""
+) -> None:
     """A summary table as CSV with a header and as JSON, in the given column order.
 
     Adaptive execution writes a small table as one file; sorted rows stay sorted across files.
@@ -70,5 +72,6 @@ def write_summary(df: DataFrame, path: str, columns: Sequence[str] | None = None
     table = df.select(*columns) if columns else df
     nested = {f.name for f in table.schema if f.dataType.simpleString().startswith(("map", "array", "struct"))}
     flat = table.select(*[F.to_json(c).alias(c) if c in nested else c for c in table.columns])
-    flat.write.option("header", True).option("escape", '"').csv(f"{path}/csv")
+    csv = {"header": "true", "escape": '"', "nullValue": null_text}
+    flat.write.options(**csv).csv(f"{path}/csv")
     table.write.option("ignoreNullFields", False).json(f"{path}/json")
