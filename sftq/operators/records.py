@@ -148,35 +148,42 @@ def split_members(df: DataFrame, record: str = "record") -> DataFrame:
 
 
 def record_infos(df: DataFrame, record: str = "record", row: str = "i") -> DataFrame:
-    """Members with ``idx, output_format, task_kind, task_schema, task_key, assistant_text``."""
+    """Members with ``idx, output_format, task_kind, task_schema, task_key, assistant_text``.
+
+    The record itself is dropped before the split: a bundle must not be copied once per member.
+    """
     r, family, md = F.col(record), F.col("family"), F.col("metadata")
-    field = lambda name: text_or_empty(item(r, name))
+    fields = ("subcategory", "category", "task")
+    subcategory, category, task = (F.col(f"_text_{f}") for f in fields)
     about = lambda name: text_or_empty(item(md, name))
 
     def by_family(paired: Column, chat: Column, other: str) -> Column:
         return F.when(family == PAIRED, paired).when(family == CHAT, chat).otherwise(other)
 
+    df = df.withColumns({f"_item_{f}": item(r, f) for f in fields})
+    df = df.withColumns({f"_text_{f}": text_or_empty(F.col(f"_item_{f}")) for f in fields})
     return (
         split_members(df, record)
+        .drop(record, *[f"_item_{f}" for f in fields])
         .withColumn("_said", last_role_value(as_list(F.col("messages")), "assistant"))
         .withColumns(
             {
                 "idx": F.concat_ws(":", F.col(row).cast("string"), F.col("j").cast("string")),
                 "output_format": by_family(
                     norm_format(about("format")),
-                    infer_format_from_category(field("subcategory"), field("category")),
+                    infer_format_from_category(subcategory, category),
                     "UNKNOWN",
                 ),
-                "task_kind": by_family(or_unknown(about("type")), or_unknown(field("task")), UNKNOWN),
+                "task_kind": by_family(or_unknown(about("type")), or_unknown(task), UNKNOWN),
                 "task_schema": by_family(
-                    or_unknown(about("schema")), or_unknown(field("subcategory")), UNKNOWN
+                    or_unknown(about("schema")), or_unknown(subcategory), UNKNOWN
                 ),
                 "assistant_text": text_or_empty(F.col("_said")),
             }
         )
-        .drop("_said")
         .withColumn(
             "task_key",
             task_key(family, F.col("output_format"), F.col("task_kind"), F.col("task_schema")),
         )
+        .drop("_said", *[f"_text_{f}" for f in fields])
     )

@@ -80,7 +80,7 @@ def audit_datasets(
     The measured records are written once and every report reads that table.
     """
     measured = audit_records(limit_per_dataset(df, max_rows), yaml_style)
-    measured = measured.drop("record", "metadata", "raw").withColumn("messages", F.to_json("messages"))
+    measured = measured.drop("metadata", "raw").withColumn("messages", F.to_json("messages"))
     measured.write.parquet(f"{out}/measured")
     table = df.sparkSession.read.schema(measured.schema).parquet(f"{out}/measured")
     write_by_task(route_rows(table), f"{out}/tasks", save_errors)
