@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from sftq.catalog.registry import query
 from sftq.functions.whitespace import unix_lines
 from sftq.operators import audit as A
-from sftq.plans.audit import audit_records, measure_records
+from sftq.plans.audit import audit_members, audit_records, measure_records
 from sftq.sources.jsonl import parse_records as parsed
 
 
@@ -13,6 +13,11 @@ def audited(t):
     return audit_records(parsed(t.audit_raw))
 
 
+def audited_toml(t):
+    """The audit of TOML members only: the others are dropped before they are parsed."""
+    return measure_records(audit_members(parsed(t.audit_raw)).where("output_format = 'TOML'"))
+
+
 def escaped(t):
     """Payloads with their counts. The fixture's usable flag stands in for the verdict."""
     rows = t.escape_texts.withColumns(
@@ -132,7 +137,7 @@ def escape_report(t):
        FROM $audit_expected e WHERE output_format = 'TOML' GROUP BY dataset""",
 )
 def toml_structure_stats(t):
-    return A.toml_structure_stats(audited(t).where("output_format = 'TOML'"))
+    return A.toml_structure_stats(audited_toml(t))
 
 
 @query(
@@ -142,7 +147,7 @@ def toml_structure_stats(t):
        FROM $audit_expected e WHERE output_format = 'TOML' ORDER BY dataset_pos, pos LIMIT 2000""",
 )
 def inline_table_sample(t):
-    return A.inline_table_sample(audited(t))
+    return A.inline_table_sample(audited_toml(t))
 
 
 @query(

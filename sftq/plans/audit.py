@@ -73,11 +73,18 @@ def measure_records(df: DataFrame, yaml_style: bool = True) -> DataFrame:
     )
 
 
+def audit_members(df: DataFrame) -> DataFrame:
+    """Classified members of rows of ``dataset, split, dataset_pos, i, record``.
+
+    A report on some formats or tasks filters here, before anything is parsed.
+    """
+    return record_infos(df).withColumn("pos", member_order(F.col("i"), F.col("j")))
+
+
 def audit_records(df: DataFrame, yaml_style: bool = True) -> DataFrame:
     """Classified and measured members of raw records.
 
-    Needs ``dataset, split, dataset_pos, i, record``. Several reports read the result:
-    write it (or ``checkpoint()`` it) once and build them from that.
+    Several reports read the result: write it (or ``checkpoint()`` it) once and build
+    them from that.
     """
-    members = record_infos(df).withColumn("pos", member_order(F.col("i"), F.col("j")))
-    return measure_records(members, yaml_style)
+    return measure_records(audit_members(df), yaml_style)
