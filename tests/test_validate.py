@@ -11,7 +11,7 @@ import pytest
 import yaml
 from pyspark.sql import functions as F
 
-from sftq.operators.validate import csv_is_plain, json_is_plain, validate_by_format, yaml_indent_canonical
+from sftq.operators.validate import YAML_NOT_SIMPLE, csv_is_plain, json_is_plain, validate_by_format, yaml_indent_canonical
 
 
 def verdicts(spark, rows, **options):
@@ -149,6 +149,22 @@ def test_verdicts_match_python_parsers(spark):
         assert result.ok is accepts(seeds[fmt][2], text), (fmt, text, result)
 
 
+def test_simple_yaml_of_the_c_parser_is_valid(spark):
+    """Evidence, not proof, that the fast path accepts nothing the Python parser rejects."""
+    if not yaml.__with_libyaml__:
+        pytest.skip("no C parser: every text goes to the Python one")
+    rng = random.Random(9)
+    atoms = [*YAML_ATOMS, "'", "...", "<<: a", "2024-99-99", "\\q", "x" * 1100, "\r", "%", "? ", "a&b", "a]", "- - a", "\x01"]
+    fast = 0
+    for _ in range(15000):
+        text = mutated(rng, YAML_SEEDS, atoms)
+        if YAML_NOT_SIMPLE.search(text) or not accepts(lambda t: yaml.load(t, yaml.CSafeLoader), text):
+            continue
+        fast += 1
+        assert accepts(yaml.safe_load, text), repr(text)
+    assert fast > 1000
+
+
 def canonical(text, step=2):
     """Line by line, as a reader would check it."""
     lines = text.splitlines()
