@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sftq.llm import repeats
+from sftq.llm import mixing, quality, repeats, simhash, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,8 +20,14 @@ def documents(operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_url_filters": urls.query,
+    "op4_simhash_near_dedup": documents(simhash.clusters),
+    "op6_quality_rules": documents(quality.judged),
     "op8_suffix_array_dedup": documents(repeats.digest),
+    "op10_source_mixing": documents(mixing.mixed),
 }
 
 #: DuckDB SQL of those that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_url_filters": urls.ORACLE,
+}

@@ -15,7 +15,8 @@ Three narrowing steps replace a sort of all suffixes; README gives the reason.
 
 Rows that meet inside a task are settled there and leave one row for the shuffle, so a
 passage that stands in a third of all documents reaches a reducer as a few rows per task.
-Hashes are 64 bits wide for names, 128 bits for runs and windows.
+Names and runs have 64-bit hashes of different rollers, windows 96 bits, texts 96 bits.
+Texts travel compressed.
 """
 
 from __future__ import annotations
@@ -24,22 +25,24 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sftq.llm.common import batches_of, binary_list, hashed, stored, whole_rows
+from sftq.llm.common import batches_of, binary_list, hashed, stored
 
-BATCH_BYTES = 1 << 21
+BATCH_BYTES = 1 << 20
 #: Bytes of text whose runs are settled together before the shuffle.
-SETTLE_BYTES = 1 << 26
-RUNS = "a long, c long, c2 long, k1 long, k2 long, lo int, n int, kind byte"
-SPANS = "k1 long, k2 long, lo int, n int, kind byte"
+SETTLE_BYTES = 1 << 25
+RUNS = "a long, c long, k1 long, k2 int, lo int, n int, kind byte"
+SPANS = "k1 long, k2 int, lo int, n int"
 #: Kinds of a run on its way: one of its name in its task; one that stands for equal ones,
 #: all settled; one that stands for several of the same name, all sent on to the windows.
 SINGLE, SAME, MIXED = 0, 1, 2
-#: Kinds of a span: repeated; windows to check; windows that others need to be checked against.
-REPEATED, CHECK = 0, 1
+#: Kinds of a span: windows known to be repeated; windows to check, or that others are checked against.
+REPEATED, CHECK = -1, -2
 
 
 class Roller:
@@ -53,7 +56,7 @@ class Roller:
 
     def load(self, data: np.ndarray) -> None:
         if len(self.power) <= len(data):
-            most = 2 * len(data) + 2
+            most = len(data) + (len(data) >> 2) + 1
             for name, base in (("power", self.base), ("inverse", pow(self.base, -1, 2**64))):
                 steps = np.full(most, base % 2**64, np.uint64)
                 steps[0] = 1
@@ -80,7 +83,7 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs_of(texts: list[bytes], width: int, anchor: int, first: Roller, second: Roller):
-    """``(text, name, hash, second hash, start in text, number of windows)`` of all runs."""
+    """``(text, name, hash, start in text, number of windows)`` of all runs."""
     kept = [i for i, x in enumerate(texts) if len(x) >= width]
     if not kept:
         return None
@@ -100,9 +103,8 @@ def runs_of(texts: list[bytes], width: int, anchor: int, first: Roller, second:
     lo, hi = at[cut], at[np.r_[cut[1:] - 1, len(at) - 1]] + width
     text, name = text[cut], names[leader[cut]]
     # Runs of different numbers of windows differ, whatever their hashes.
-    one = first.between(lo, hi) ^ hashed((hi - lo).astype(np.uint64))
-    start = lo - (end - length)[text]
-    return np.array(kept)[text], name, one, second.between(lo, hi), start, hi - lo - width + 1
+    whole = second.between(lo, hi) ^ hashed((hi - lo).astype(np.uint64))
+    return np.array(kept)[text], name, whole, lo - (end - length)[text], hi - lo - width + 1
 
 
 def _neighbours(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -124,24 +126,20 @@ def _table(names: str, *columns: np.ndarray) -> pa.RecordBatch:
 
 
 def _settle_runs(rows: list[np.ndarray]) -> pa.RecordBatch:
-    """Runs of one task: those settled here as spans (``a`` = 0, kind below 0), and one per name."""
-    a, c, c2, k1, k2, lo, n = rows
-    order = np.lexsort((c2, c, a))
-    a, c, c2, k1, k2, lo, n = (x[order] for x in (a, c, c2, k1, k2, lo, n))
-    before, after = _neighbours(a)
-    same_before, same_after = _neighbours(a, c, c2)
+    """Runs of one task: one of each name to be compared with others, and settled ones as spans."""
+    order = np.lexsort((rows[1], rows[0]))
+    a, c, k1, k2, lo, n = (x[order] for x in rows)
+    before, _ = _neighbours(a)
+    same, _ = _neighbours(a, c)
     group = np.cumsum(~before) - 1
-    size = np.bincount(group)
-    classes = np.bincount(group, ~same_before)
-    kind = np.where(size == 1, SINGLE, np.where(classes == 1, SAME, MIXED))[group]
-    head = ~before
-    sent = np.flatnonzero(head)
-    own = np.flatnonzero(kind != SINGLE)
-    span_kind = np.where(kind[own] == SAME, REPEATED, CHECK) - 2
+    several = np.bincount(group) > 1
+    kind = np.where(several, np.where(np.bincount(group, ~same) == 1, SAME, MIXED), SINGLE)[group]
+    sent, own = np.flatnonzero(~before), np.flatnonzero(several[group])
     take = np.r_[sent, own]
-    kinds = np.r_[kind[sent], span_kind]
-    named = np.r_[a[sent], np.zeros(len(own), np.uint64)]
-    return _table(RUNS, named, c[take], c2[take], k1[take], k2[take], lo[take], n[take], kinds)
+    # Settled rows are dealt by text, not by name.
+    name = np.r_[a[sent].view(np.int64), k1[own]]
+    kinds = np.r_[kind[sent], np.where(kind[own] == SAME, REPEATED, CHECK)]
+    return _table(RUNS, name, c[take], k1[take], k2[take], lo[take], n[take], kinds)
 
 
 def find_runs(batches: Iterator[pa.RecordBatch], width: int, anchor: int) -> Iterator[pa.RecordBatch]:
@@ -153,9 +151,9 @@ def find_runs(batches: Iterator[pa.RecordBatch], width: int, anchor: int) -> Ite
         found = runs_of(texts, width, anchor, first, second)
         size += sum(map(len, texts))
         if found is not None:
-            text, name, one, two, start, n = found
+            text, name, whole, start, n = found
             k1, k2 = (batch.column(k).to_numpy(zero_copy_only=False)[text] for k in ("k1", "k2"))
-            held.append((name, one, two, k1, k2, start, n))
+            held.append((name, whole, k1, k2, start, n))
         if size >= SETTLE_BYTES and held:
             yield _settle_runs([np.concatenate(x) for x in zip(*held, strict=True)])
             held, size = [], 0
@@ -181,16 +179,30 @@ def _windowed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatc
         yield pa.Table.from_batches(parts), start, start + current.num_rows
 
 
+def _apart(batches: Iterator[pa.RecordBatch], settled: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows still to be compared; the others go to ``settled``."""
+    for batch in batches:
+        done = pa.compute.less(batch.column("kind"), 0)
+        if pa.compute.any(done).as_py():
+            settled.append(batch.filter(done))
+            batch = batch.filter(pa.compute.invert(done))
+        yield batch
+
+
 def _arrays(table: pa.Table, names: str) -> list[np.ndarray]:
     return [table.column(x).to_numpy() for x in names.split()]
 
 
+JUDGED = "k1 long, k2 int, lo int, n int, kind byte"
+
+
 def judge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs sorted by name and hashes to spans, by comparing neighbours."""
-    for table, start, stop in _windowed(batches):
-        a, c, c2, k1, k2, lo, n, kind = _arrays(table, "a c c2 k1 k2 lo n kind")
+    """Runs sorted by name and hash to spans, by comparing neighbours."""
+    settled: list[pa.RecordBatch] = []
+    for table, start, stop in _windowed(_apart(batches, settled)):
+        a, c, k1, k2, lo, n, kind = _arrays(table, "a c k1 k2 lo n kind")
         before, after = _neighbours(a)
-        same_before, same_after = _neighbours(a, c, c2)
+        same_before, same_after = _neighbours(a, c)
         equal = same_before | same_after
         repeated = (kind == SINGLE) & equal
         check = (kind == SINGLE) & ~equal & (before | after)
@@ -199,68 +211,77 @@ def judge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, what in ((repeated, REPEATED), (check | (witness & (kind != MIXED)), CHECK)):
             take = start + np.flatnonzero(rows[start:stop])
             if len(take):
-                yield _table(SPANS, k1[take], k2[take], lo[take], n[take], np.full(len(take), what))
+                yield _table(JUDGED, k1[take], k2[take], lo[take], n[take], np.full(len(take), what))
+        while settled:
+            yield settled.pop().select(["k1", "k2", "lo", "n", "kind"])
+    while settled:
+        yield settled.pop().select(["k1", "k2", "lo", "n", "kind"])
 
 
-WINDOWS = "h long, h2 long, k1 long, k2 long, at int, kind byte"
+WINDOWS = "h long, h2 int, k1 long, k2 int, lo int, n int, kind byte"
+
+
+def _united(k1: np.ndarray, k2: np.ndarray, lo: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Spans of each text with touching ones joined."""
+    order = np.lexsort((lo, k2, k1))
+    k1, k2, lo, hi = (x[order] for x in (k1, k2, lo, lo + n))
+    before, _ = _neighbours(k1, k2)
+    text = np.cumsum(~before)
+    reach = np.maximum.accumulate(hi.astype(np.int64) + (text << 32)) - (text << 32)
+    head = np.flatnonzero(~before | np.r_[True, lo[1:] > reach[:-1]])
+    stop = reach[np.r_[head[1:] - 1, len(lo) - 1]]
+    return k1[head], k2[head], lo[head], stop - lo[head]
 
 
 def find_windows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """Rows ``text, k1, k2, spans`` to windows; equal ones of a batch are settled (kind below 0)."""
+    """Rows ``zipped, k1, k2, spans`` to windows; equal ones of a batch leave one, and a settled span."""
     first, second = Roller(3), Roller(4)
-    for batch in batches_of(batches, "text", BATCH_BYTES):
+    for batch in batches_of(batches, "zipped", BATCH_BYTES // 4):
         held = []
-        texts = binary_list(batch.column("text"))
-        for text, k1, k2, spans in zip(
-            texts, batch.column("k1").to_pylist(), batch.column("k2").to_pylist(), batch.column("spans").to_pylist(), strict=True
-        ):
-            data = np.frombuffer(text, np.uint8)
+        for zipped, k1, k2, spans in zip(*(batch.column(x).to_pylist() for x in ("zipped", "k1", "k2", "spans")), strict=True):
+            data = np.frombuffer(unzipped(zipped), np.uint8)
             mark = np.zeros(len(data) + 1, np.int32)
             for span in spans:
                 mark[span["lo"]] += 1
                 mark[span["lo"] + span["n"]] -= 1
-            at = np.flatnonzero(np.cumsum(mark) > 0)
+            lo = np.flatnonzero(np.cumsum(mark) > 0)
             first.load(data)
             second.load(data)
-            held.append((first.between(at, at + width), second.between(at, at + width), np.full(len(at), k1), np.full(len(at), k2), at))
+            more = (second.between(lo, lo + width) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            held.append((first.between(lo, lo + width), more, np.full(len(lo), k1), np.full(len(lo), k2), lo))
         if not held:
             continue
-        h, h2, k1, k2, at = (np.concatenate(x) for x in zip(*held, strict=True))
+        h, h2, k1, k2, lo = (np.concatenate(x) for x in zip(*held, strict=True))
         order = np.lexsort((h2, h))
-        h, h2, k1, k2, at = (x[order] for x in (h, h2, k1, k2, at))
+        h, h2, k1, k2, lo = (x[order] for x in (h, h2, k1, k2, lo))
         before, after = _neighbours(h, h2)
-        own = np.flatnonzero(before | after)
-        sent = np.flatnonzero(~before)
-        take = np.r_[sent, own]
-        kinds = np.r_[np.where(after[sent], SAME, SINGLE), np.full(len(own), -1)]
-        yield _table(WINDOWS, h[take], h2[take], k1[take], k2[take], at[take], kinds)
+        sent, own = np.flatnonzero(~before), np.flatnonzero(before | after)
+        yield _table(WINDOWS, h[sent], h2[sent], k1[sent], k2[sent], lo[sent], np.ones(len(sent)), np.where(after[sent], SAME, SINGLE))
+        if len(own):
+            k1, k2, lo, n = _united(k1[own], k2[own], lo[own], np.ones(len(own), np.int64))
+            yield _table(WINDOWS, k1, np.zeros(len(k1)), k1, k2, lo, n, np.full(len(k1), REPEATED))
 
 
 def judge_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows sorted by hash to repeated spans of one window."""
-    for table, start, stop in _windowed(batches):
-        h, h2, k1, k2, at, kind = _arrays(table, "h h2 k1 k2 at kind")
+    """Windows sorted by hash to repeated spans."""
+    settled: list[pa.RecordBatch] = []
+    for table, start, stop in _windowed(_apart(batches, settled)):
+        h, h2, k1, k2, lo, kind = _arrays(table, "h h2 k1 k2 lo kind")
         before, after = _neighbours(h, h2)
         take = start + np.flatnonzero(((kind == SINGLE) & (before | after))[start:stop])
         if len(take):
-            yield _table(SPANS, k1[take], k2[take], at[take], np.ones(len(take)), np.zeros(len(take)))
+            yield _table(SPANS, *_united(k1[take], k2[take], lo[take], np.ones(len(take), np.int64)))
+        while settled:
+            yield settled.pop().select(["k1", "k2", "lo", "n"])
+    while settled:
+        yield settled.pop().select(["k1", "k2", "lo", "n"])
 
 
 def _unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans with touching ones of a batch joined, to shorten what is shuffled."""
     for batch in batches:
-        k1, k2, lo, n = (batch.column(x).to_numpy() for x in ("k1", "k2", "lo", "n"))
-        order = np.lexsort((lo, k2, k1))
-        k1, k2, lo, hi = (x[order] for x in (k1, k2, lo, lo + n))
-        if not len(k1):
-            continue
-        before, _ = _neighbours(k1, k2)
-        text = np.cumsum(~before)
-        reach = np.maximum.accumulate(hi.astype(np.int64) + (text << 32)) - (text << 32)
-        new = ~before | np.r_[True, lo[1:] > reach[:-1]]
-        head = np.flatnonzero(new)
-        stop = reach[np.r_[head[1:] - 1, len(lo) - 1]]
-        yield _table(SPANS, k1[head], k2[head], lo[head], stop - lo[head], np.zeros(len(head)))
+        if batch.num_rows:
+            yield _table(SPANS, *_united(*(batch.column(x).to_numpy() for x in ("k1", "k2", "lo", "n"))))
 
 
 def cut_out(text: bytes, spans: list[dict], width: int) -> tuple[list[tuple[int, int]], bytes]:
@@ -278,58 +299,71 @@ def cut_out(text: bytes, spans: list[dict], width: int) -> tuple[list[tuple[int,
     return ranges, b"".join([*stay, text[at:]])
 
 
+def zipped_column(text: Column) -> Column:
+    @F.pandas_udf("binary")
+    def packed(texts: pd.Series) -> pd.Series:
+        pack = zstandard.ZstdCompressor()
+        return texts.map(lambda x: pack.compress(x or b""))
+
+    return packed(text.cast("binary"))
+
+
+def unzipped(value: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(value)
+
+
+def text_keys(text: Column) -> list[Column]:
+    """Two hashes of a text; null and empty are alike."""
+    text = F.coalesce(text, F.lit(""))
+    return [F.xxhash64(text).alias("k1"), F.hash(F.lit(1), text).alias("k2")]
+
+
 def repeated_spans(docs: DataFrame, width: int = 400, anchor: int = 256, text: str = "text") -> DataFrame:
     """``k1, k2, spans``: for each text with repeated windows, runs of their starts (``lo``, ``n``).
 
     ``k1, k2`` are two hashes of the text: equal texts repeat in the same places.
     """
-    keyed = docs.select(F.col(text).alias("text"))
-    keyed = keyed.where(F.octet_length("text") >= width)
-    keyed = keyed.select("text", F.xxhash64("text").alias("k1"), F.xxhash64(F.lit(1), "text").alias("k2"))
-    runs = stored(keyed.mapInArrow(lambda batches: find_runs(batches, width, anchor), RUNS))
-    far = runs.where("kind >= 0").repartition("a").sortWithinPartitions("a", "c", "c2")
-    near = runs.where("kind < 0").select("k1", "k2", "lo", "n", (F.col("kind") + 2).cast("byte").alias("kind"))
-    spans = stored(far.mapInArrow(judge_runs, SPANS).unionByName(near))
+    keyed = docs.select(F.col(text).alias("text")).where(F.octet_length("text") >= width)
+    keyed = keyed.select("text", *text_keys(F.col("text")))
+    runs = keyed.mapInArrow(lambda batches: find_runs(batches, width, anchor), RUNS)
+    spans = stored(runs.repartition("a").sortWithinPartitions("a", "c").mapInArrow(judge_runs, JUDGED))
     todo = spans.where(F.col("kind") == CHECK).groupBy("k1", "k2").agg(F.collect_set(F.struct("lo", "n")).alias("spans"))
-    found = stored(keyed.join(todo, ["k1", "k2"]).mapInArrow(lambda batches: find_windows(batches, width), WINDOWS))
-    pairs = found.where("kind >= 0").repartition("h").sortWithinPartitions("h", "h2")
-    late = found.where("kind < 0").select("k1", "k2", F.col("at").alias("lo"), F.lit(1).alias("n"), F.lit(0).cast("byte").alias("kind"))
-    whole = spans.where(F.col("kind") == REPEATED)
-    every = whole.unionByName(pairs.mapInArrow(judge_windows, SPANS)).unionByName(late)
-    return (
-        every.mapInArrow(_unite, SPANS).groupBy("k1", "k2").agg(F.collect_set(F.struct("lo", "n")).alias("spans"))
-    )
+    packed = keyed.select("k1", "k2", zipped_column(F.col("text")).alias("zipped"))
+    windows = packed.join(todo, ["k1", "k2"]).mapInArrow(lambda batches: find_windows(batches, width), WINDOWS)
+    late = windows.repartition("h").sortWithinPartitions("h", "h2").mapInArrow(judge_windows, SPANS)
+    every = spans.where(F.col("kind") == REPEATED).drop("kind").unionByName(late)
+    return every.mapInArrow(_unite, SPANS).groupBy("k1", "k2").agg(F.collect_set(F.struct("lo", "n")).alias("spans"))
 
 
 RESULT = "n_bytes long, n_removed long, n_spans long, kept binary"
 
 
 def remove_repeats(docs: DataFrame, width: int = 400, anchor: int = 256, text: str = "text") -> DataFrame:
-    """All rows and columns of ``docs`` plus ``repeat_cut``: ``n_bytes, n_removed, n_spans, kept``.
+    """All rows of ``docs``, ``text`` replaced by what stays of it, and ``repeat_cut``.
 
-    A null text counts as empty; shorter texts than ``width`` stay whole; repeated rows
-    are copies of each other and lose all they share. ``kept`` is the remaining bytes,
-    which need not be valid UTF-8. A column of ``docs`` named ``repeat_cut`` is replaced.
+    ``repeat_cut`` has ``n_bytes, n_removed, n_spans, kept``; ``kept`` is the remaining bytes,
+    which need not be valid UTF-8. A null text counts as empty; shorter texts than ``width``
+    stay whole; repeated rows are copies of each other and lose all they share. A column
+    of ``docs`` named ``repeat_cut`` is replaced.
     """
     spans = repeated_spans(docs, width, anchor, text)
-    value = F.col("row")[text]
-    keys = whole_rows(docs, "repeat_cut").select(
-        "row", value.alias("text"), F.xxhash64(value).alias("k1"), F.xxhash64(F.lit(1), value).alias("k2")
-    )
-    joined = keys.join(spans, ["k1", "k2"], "left")
+    value = F.col(f"`{text}`")
+    kept = [F.col(f"`{c}`") for c in docs.columns if c != text and c.lower() != "repeat_cut"]
+    rows = docs.select(F.struct(F.lit(0).alias("_"), *kept).alias("row"), zipped_column(value).alias("zipped"), *text_keys(value))
 
     @F.pandas_udf(RESULT)
-    def cut(texts, spans):
-        import pandas as pd
-
+    def cut(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
         rows = []
-        for value, own in zip(texts, spans, strict=True):
-            value = (value or "").encode()
+        for zipped, own in zip(texts, spans, strict=True):
+            value = unzipped(zipped)
             ranges, kept = cut_out(value, [] if own is None else list(own), width)
             rows.append((len(value), len(value) - len(kept), len(ranges), kept))
         return pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept"])
 
-    return joined.select("row.*", cut("text", "spans").alias("repeat_cut"))
+    out = rows.join(spans, ["k1", "k2"], "left").select("row", cut("zipped", "spans").alias("repeat_cut"))
+    names = [c for c in docs.columns if c.lower() != "repeat_cut"]
+    back = [F.make_valid_utf8(F.col("repeat_cut.kept").cast("string")).alias(c) if c == text else F.col("row")[c].alias(c) for c in names]
+    return out.select(*back, "repeat_cut")
 
 
 def digest(docs: DataFrame) -> DataFrame:
