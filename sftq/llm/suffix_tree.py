@@ -26,9 +26,11 @@ from pyspark.sql import functions as F
 from sftq.llm.common import batches_of, binary_list, fold, stored
 
 DEPTH = 5
-LEAST = 5e-7
+LEAST = 2e-7
 #: Bits by which a context's own distribution must shorten the training text, for each of its entries.
-GAIN_BITS = 8.0
+GAIN_BITS = 4.0
+#: Weight of the suffix's distribution for each kind of symbol seen after a context.
+SMOOTHING = 3
 FOLDS, HELD_OUT = 7, 2
 BATCH_BYTES = 1 << 21
 #: Bytes of text whose words are numbered together.
@@ -141,7 +143,7 @@ def grow(training: DataFrame, least: float = LEAST, gain_bits: float = GAIN_BITS
         if not len(context):
             tree.add(context, np.zeros(0), code[:0], np.zeros(0))
             continue
-        share = n / (c + kinds)[at]
+        share = n / (c + SMOOTHING * kinds)[at]
         rest = 1 - np.bincount(at, share, len(context))
         parent = tree.probability(code)
         gain = np.bincount(at, n * np.log2((share + rest[at] * parent) / parent), len(context))
@@ -238,5 +240,5 @@ def score(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT) -> Data
     sums = counts.agg(F.sum("c"), F.count(F.when(F.col("c") > 0, 1))).first()
     total, distinct = int(sums[0] or 0), int(sums[1])
     known = words.join(counts, "word").select("block", "number", "c").groupBy("block")
-    texts = scored.where("word is null").select("block", "doc_id", "held_out", "n_tokens", "score", "ids").groupBy("block")
+    texts = scored.where("word is null").select(F.col("block").alias("own"), "doc_id", "held_out", "n_tokens", "score", "ids").groupBy("own")
     return texts.cogroup(known).applyInArrow(lambda a, b: base_scores(a, b, total, distinct), RESULT)
