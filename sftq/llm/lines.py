@@ -8,6 +8,8 @@ the first stays, the others go.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,18 +38,24 @@ def chunks_of(text: Column) -> Column:
     unless that holds for the line before too: so chunks have two lines at least, but for
     a document's first and last.
     """
-    rows = F.transform(F.split(text, "\n", -1), lambda x: F.struct(x.alias("line"), line_hash(x).alias("hash")))
-    low = F.lit(0).cast("long")
-
-    def cut(all_rows: Column, i: Column) -> Column:
-        own, before = F.get(all_rows, i)["hash"], F.coalesce(F.get(all_rows, i - 1)["hash"], low)
-        return (own + FACTOR * before) % DIVISOR == 0
-
-    n = F.size(rows)
-    ends = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == n - 1) | (cut(rows, i) & ((i == 0) | ~cut(rows, i - 1))))
-    starts = F.concat(F.array(F.lit(0)), F.transform(F.slice(ends, 1, F.size(ends) - 1), lambda e: e + 1))
-    spans = F.arrays_zip(starts.alias("a"), ends.alias("b"))
-    return F.transform(spans, lambda s: F.transform(F.slice(rows, s["a"] + 1, s["b"] - s["a"] + 1), lambda r: r["line"]))
+    lines = F.split(text, "\n", -1)
+    hashes = lambda own: F.transform(own, line_hash)
+    rolled = lambda own: F.transform(own, lambda h, i: (h + FACTOR * F.coalesce(F.get(own, i - 1), F.lit(0))) % DIVISOR == 0)
+    ends = lambda own: F.filter(
+        F.transform(own, lambda cut, i: F.when((i == F.size(own) - 1) | (cut & ~F.coalesce(F.get(own, i - 1), F.lit(False))), i)),
+        lambda i: i.isNotNull(),
+    )
+    spans = lambda own: F.transform(own, lambda end, k: F.struct((F.coalesce(F.get(own, k - 1), F.lit(-1)) + 1).alias("a"), end.alias("b")))
+    marks = lambda own: once(once(once(hashes(own), rolled), ends), spans)
+    return once(lines, lambda own: F.transform(marks(own), lambda s: F.slice(own, s["a"] + 1, s["b"] - s["a"] + 1)))
+
+
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once.
+
+    An expression that a lambda reads is computed for each element; an element is not.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _keys(docs: DataFrame) -> list[Column]:

@@ -21,7 +21,6 @@ Texts travel compressed.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -371,20 +370,3 @@ def digest(docs: DataFrame) -> DataFrame:
     out = remove_repeats(docs.select("doc_id", "text"))
     cut = F.col("repeat_cut")
     return out.select("doc_id", cut["n_bytes"].alias("n_bytes"), cut["n_removed"].alias("n_removed"), cut["n_spans"].alias("n_spans"), F.sha2(cut["kept"], 256).alias("kept_sha256"))
-
-
-def brute(texts: list[bytes], width: int) -> list[tuple[int, int, int, str]]:
-    """The same figures by counting every window; for tests."""
-    from collections import Counter
-
-    count = Counter(t[i : i + width] for t in texts for i in range(len(t) - width + 1))
-    out = []
-    for t in texts:
-        gone = np.zeros(len(t) + 1, bool)
-        for i in range(len(t) - width + 1):
-            if count[t[i : i + width]] > 1:
-                gone[i : i + width] = True
-        kept = bytes(x for x, g in zip(t, gone, strict=False) if not g)
-        starts = int(np.sum(gone[: len(t)] & ~np.r_[False, gone[: len(t)]][: len(t)]))
-        out.append((len(t), int(gone.sum()), starts, hashlib.sha256(kept).hexdigest()))
-    return out
