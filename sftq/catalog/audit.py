@@ -27,30 +27,38 @@ def escaped(t):
 
 
 def _counted_sql(fmt):
-    columns = [
-        f"CAST((length(text) - length(replace(text, '{found.replace(chr(39), chr(39) * 2)}', ''))) // {len(found)} AS INT) AS {name}"
+    """One row per text and checked type: columns that differ in case only cannot be written."""
+    counts = {
+        name: f"(length(text) - length(replace(text, '{found.replace(chr(39), chr(39) * 2)}', ''))) // {len(found)}"
         for name, found in A.ESCAPE_TEXTS[fmt].items()
-    ]
+    }
     patterns = {name: p.replace(r"\p{Nd}", "[0-9]") for name, p in A.ESCAPE_PATTERNS[fmt].items()}
     # RE2 has neither lookahead nor possessive repeats.
     bare = patterns.pop("xml_bare_amp", None)
     if "csv_quoted_newline" in patterns:
         patterns["csv_quoted_newline"] = r'"[^"]*\n[^"]*"'
-    columns += [f"CAST(len(regexp_extract_all(text, '{p}')) AS INT) AS {name}" for name, p in patterns.items()]
+    counts |= {name: f"len(regexp_extract_all(text, '{p}'))" for name, p in patterns.items()}
     if bare:
         valid = "&(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);"
-        columns.append(
-            "CAST(length(text) - length(replace(text, '&', '')) - "
-            f"len(regexp_extract_all(text, '{valid}')) AS INT) AS xml_bare_amp"
+        counts["xml_bare_amp"] = (
+            "length(text) - length(replace(text, '&', '')) - "
+            f"len(regexp_extract_all(text, '{valid}'))"
         )
-    return f"SELECT record_id, dataset, {', '.join(columns)} FROM $escape_texts e WHERE output_format = '{fmt}'"
+    return " UNION ALL ".join(
+        f"SELECT record_id, dataset, '{name}' AS escape_type, CAST({count} AS INT) AS occurrences "
+        f"FROM $escape_texts e WHERE output_format = '{fmt}'"
+        for name, count in counts.items()
+    )
 
 
 def _counts(fmt):
     def counts(t):
         rows = t.escape_texts.where(F.col("output_format") == fmt)
-        columns = A.escape_counts(F.col("text"), fmt)
-        return rows.select("record_id", "dataset", *[c.alias(n) for n, c in columns.items()])
+        entries = [
+            F.struct(F.lit(name).alias("escape_type"), count.alias("occurrences"))
+            for name, count in A.escape_counts(F.col("text"), fmt).items()
+        ]
+        return rows.select("record_id", "dataset", F.inline(F.array(*entries)))
 
     return counts
 
@@ -87,8 +95,7 @@ def toml_structure(t):
 
 
 _ESCAPE_LONG = " UNION ALL ".join(
-    f"SELECT '{fmt}' AS format, escape_type, record_id, dataset, occurrences FROM (UNPIVOT ({_counted_sql(fmt)}) "
-    f"ON {', '.join([*A.ESCAPE_TEXTS[fmt], *A.ESCAPE_PATTERNS[fmt]])} INTO NAME escape_type VALUE occurrences) u"
+    f"SELECT '{fmt}' AS format, escape_type, record_id, dataset, occurrences FROM ({_counted_sql(fmt)}) u"
     for fmt in A.ESCAPE_TEXTS
 ) + "".join(
     f" UNION ALL SELECT 'TOML', '{name}', record_id, dataset, {n} FROM $escape_texts e WHERE output_format = 'TOML'"

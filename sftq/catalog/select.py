@@ -70,7 +70,7 @@ def limit_global(t):
 )
 def limit_global_by_chunks(t):
     rows = t.sft_scored.select("record_id", "rel_path", "line_no")
-    return S.limit_global(rows, 300, chunk=F.floor(F.col("line_no") / 64), top_k=0)
+    return S.limit_global(rows, 300, chunk=F.floor(F.col("line_no") / 64))
 
 
 _PER_DATASET = """SELECT doc_id, source FROM (
@@ -87,4 +87,4 @@ def limit_per_dataset(t):
 def limit_per_dataset_by_chunks(t):
     rows = t.documents.select("doc_id", "source")
     chunk = F.floor(F.col("doc_id") / 64)
-    return S.limit_per_dataset(rows, 20, dataset="source", row="doc_id", chunk=chunk, top_k=0)
+    return S.limit_per_dataset(rows, 20, dataset="source", row="doc_id", chunk=chunk)

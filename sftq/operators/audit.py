@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from sftq.functions.whitespace import BLANK, SPACE, strip
 from sftq.operators.records import PAIRED
+from sftq.operators.select import CHUNK_ROWS, first_rows
 
 # What is counted per format, as plain text...
 ESCAPE_TEXTS = {
@@ -189,16 +190,15 @@ def toml_json_candidates(payload: Column) -> Column:
 
 def toml_structure(lines: Column) -> Column:
     """Header counts of a TOML text (with unix line breaks): ``STRUCT`` of the five fields."""
-    header = rf"(?md)^{BLANK}*+\[(\[)?{BLANK}*([^\]\n]+?){BLANK}*\]\]?{BLANK}*$"
-    marks = F.regexp_extract_all(lines, F.lit(header), F.lit(1))
-    paths = F.regexp_extract_all(lines, F.lit(header), F.lit(2))
-    headers = F.zip_with(
-        marks,
-        paths,
-        lambda mark, path: F.struct(
-            (mark != "").alias("is_array"), F.regexp_replace(path, SPACE, "").alias("path")
-        ),
-    )
+    # Possessive, so a line is read once whatever it holds; blanks of the path go afterwards.
+    header = rf"(?md)^{BLANK}*+\[(\[?[^\]\n]++)\]\]?{BLANK}*+$"
+
+    def split(found: Column) -> Column:
+        is_array = found.startswith("[") & (F.length(found) > 1)
+        path = F.when(is_array, F.substr(found, F.lit(2))).otherwise(found)
+        return F.struct(is_array.alias("is_array"), F.regexp_replace(path, SPACE, "").alias("path"))
+
+    headers = F.transform(F.regexp_extract_all(lines, F.lit(header), F.lit(1)), split)
 
     def step(seen: Column, h: Column) -> Column:
         is_array, path = h["is_array"], h["path"]
@@ -361,8 +361,10 @@ def inline_table_sample(df: DataFrame, rows: int = SAMPLE_ROWS, chars: int = EXC
 
     Needs ``dataset_pos, pos`` for the order and ``inline`` counts.
     """
+    found = df.where((F.col("output_format") == "TOML") & (F.col("inline.total") > 0))
+    chunk = F.struct("dataset_pos", F.floor(F.col("pos.i") / CHUNK_ROWS))
     return (
-        df.where((F.col("output_format") == "TOML") & (F.col("inline.total") > 0))
+        first_rows(found, rows, ["dataset_pos", "pos"], chunk)
         .select(
             "dataset_pos",
             "pos",
@@ -378,7 +380,6 @@ def inline_table_sample(df: DataFrame, rows: int = SAMPLE_ROWS, chars: int = EXC
             F.substring("payload", 1, chars).alias("payload_excerpt"),
         )
         .orderBy("dataset_pos", "pos")
-        .limit(rows)
         .drop("dataset_pos", "pos")
     )
 
@@ -414,7 +415,8 @@ def task_stats(df: DataFrame) -> DataFrame:
         }
     )
     is_error = F.col("reason").isNotNull()
-    rank = F.struct("_n", -F.col("_first.dataset_pos"), -F.col("_first.first_pos"))
+    earlier = [-F.col(f"_first.{c}") for c in ("dataset_pos", "first_pos.i", "first_pos.j")]
+    rank = F.struct("_n", *earlier)
     parts = F.max_by(F.struct(*TASK_PARTS), F.struct("dataset_pos", "last_pos"))
     return (
         ranked.groupBy("task_key")

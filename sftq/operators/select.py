@@ -13,10 +13,8 @@ from sftq.functions.staging import once
 
 DEFAULT_MIN_SCORE = 90  # fixed value: for each known format when no threshold is given
 
-# A limit up to this many rows is a top-k; above it chunks are counted instead.
-TOP_K_ROWS = 100_000
+# Line numbers per chunk. Any number gives the same rows; the one chunk that a limit cuts is sorted.
 CHUNK_ROWS = 65_536
-BROADCAST_DATASETS = 10_000  # one short row each; more are joined without a hint
 
 
 def score_and_format(df: DataFrame, record: str = "record") -> DataFrame:
@@ -81,68 +79,71 @@ def filter_counts(df: DataFrame, kept: Column, shard: str = "rel_path") -> DataF
     )
 
 
-def _last_chunk(df: DataFrame, n: int, within: Sequence[str]) -> tuple[DataFrame, Column]:
-    """Chunk counts with the rows left for each (``_left``), and the aggregate that picks
-    the last chunk that gets any. Chunks are runs of rows, so there are few of them."""
-    earlier = (
-        Window.partitionBy(*within)
-        .orderBy("_chunk")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    left = F.lit(n) - F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
+def _boundary(df: DataFrame, n: int, order: Sequence[str], within: Sequence[str]) -> DataFrame:
+    """``_last``: position of the n-th row (or the last) of each group, for groups with rows.
+
+    Counts the rows of each chunk, finds the one chunk that the limit cuts, and numbers
+    only its rows. Chunks are runs of rows, one short row each once counted; their running
+    sum is taken in one task for each group.
+    """
     counts = df.groupBy(*within, "_chunk").agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy(*within).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    left = F.lit(n) - F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
     reached = counts.withColumn("_left", left).where("_left > 0")
-    return reached, F.max(F.struct("_chunk", "_left"))
-
+    cut = reached.groupBy(*within).agg(F.max(F.struct("_chunk", "_left")).alias("_cut"))
+    cut = cut.select(*[F.col(c).alias(f"_of_{c}") for c in within], "_cut.*").withColumnRenamed("_chunk", "_at")
+    same = F.col("_chunk") == F.col("_at")
+    for c in within:
+        same &= F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    number = F.row_number().over(Window.partitionBy(*within, "_chunk").orderBy(*order))
+    rows = df.join(cut, same).withColumn("_n", number).where("_n <= _left")
+    return rows.groupBy(*within).agg(F.max(F.struct(*order)).alias("_last"))
+
+
+def first_rows(
+    df: DataFrame, n: int, order: Sequence[str], chunk: Column, within: Sequence[str] = ()
+) -> DataFrame:
+    """The first ``n`` rows by ``order``, in each group of ``within``; ``n <= 0`` keeps all.
 
-def _cut(df: DataFrame, last: Column, order: Sequence[Column], within: Sequence[str]) -> DataFrame:
-    """Rows of the chunks before ``last``, and the first rows of that one chunk."""
-    chunk = F.col("_chunk")
-    number = F.row_number().over(Window.partitionBy(*within, chunk).orderBy(*order))
-    cut = df.withColumn("_left", last["_left"]).where(chunk == last["_chunk"])
-    cut = cut.withColumn("_n", number).where("_n <= _left")
-    return df.where(chunk < last["_chunk"]).unionByName(cut.drop("_left", "_n"))
+    ``order`` must tell rows of a group apart, and ``chunk`` must not decrease along it.
+    The result is a filter by one position a group; no rows are gathered or sorted as a whole,
+    and one plan serves every ``n``.
+    """
+    if n <= 0:
+        return df
+    position = df.select(*dict.fromkeys([*within, *order]), chunk.alias("_chunk"))
+    last = _boundary(position, n, order, within)
+    here = F.struct(*order)
+    if not within:
+        return df.where(here <= last.select("_last").scalar())
+    last = last.select(*[F.col(c).alias(f"_of_{c}") for c in within], "_last")
+    same = here <= F.col("_last")
+    for c in within:
+        same &= F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    return df.join(last, same, "left_semi")
 
 
 def limit_global(
     df: DataFrame, n: int, path: str = "rel_path", line: Sequence[str] = ("line_no",),
-    chunk: Column | None = None, top_k: int = TOP_K_ROWS,
+    chunk: Column | None = None,
 ) -> DataFrame:
     """First ``n`` records in path and line order; ``n <= 0`` keeps all.
 
     Paths sort by their parts, so a directory comes before its longer-named sibling.
-    ``chunk`` numbers runs of consecutive lines of one file for large limits (the
-    block of a scanned file; by default 65,536 line numbers).
+    ``chunk`` numbers runs of consecutive lines of one file (the block of a scanned
+    file; by default 65,536 line numbers). Lines of a path must differ in ``line``.
     """
     if n <= 0:
         return df
-    parts, lines = F.split(path, "/"), [F.col(c) for c in line]
-    if n <= top_k:
-        return df.orderBy(parts, *lines).limit(n)
-    chunk = F.floor(lines[0] / CHUNK_ROWS) if chunk is None else chunk
-    df = df.withColumn("_chunk", F.struct(parts, chunk))
-    reached, last = _last_chunk(df, n, ())
-    return _cut(df, reached.select(last).scalar(), lines, ()).drop("_chunk")
+    parts = F.split(path, "/")
+    chunk = F.floor(F.col(line[0]) / CHUNK_ROWS) if chunk is None else chunk
+    rows = first_rows(df.withColumn("_parts", parts), n, ["_parts", *line], F.struct(parts, chunk))
+    return rows.drop("_parts")
 
 
 def limit_per_dataset(
-    df: DataFrame, n: int, dataset: str = "dataset", row: str = "i",
-    chunk: Column | None = None, top_k: int = 999,
+    df: DataFrame, n: int, dataset: str = "dataset", row: str = "i", chunk: Column | None = None
 ) -> DataFrame:
-    """First ``n`` input rows of each dataset; ``n <= 0`` keeps all.
-
-    Small limits cut each map task's output to ``n`` rows per dataset before the
-    shuffle (Spark's window group limit), larger ones count chunks.
-    """
-    if n <= 0:
-        return df
-    if n <= top_k:
-        number = F.row_number().over(Window.partitionBy(dataset).orderBy(row))
-        return df.withColumn("_n", number).where(F.col("_n") <= n).drop("_n")
-    df = df.withColumn("_chunk", F.floor(F.col(row) / CHUNK_ROWS) if chunk is None else chunk)
-    reached, last = _last_chunk(df, n, [dataset])
-    lasts = reached.groupBy(F.col(dataset).alias("_d")).agg(last.alias("_last"))
-    if lasts.limit(BROADCAST_DATASETS + 1).count() <= BROADCAST_DATASETS:
-        lasts = F.broadcast(lasts)
-    rows = df.join(lasts, F.col(dataset).eqNullSafe(F.col("_d")))
-    return _cut(rows, F.col("_last"), [F.col(row)], [dataset]).drop("_chunk", "_d", "_last")
+    """First ``n`` input rows of each dataset; ``n <= 0`` keeps all. Rows must differ in ``row``."""
+    chunk = F.floor(F.col(row) / CHUNK_ROWS) if chunk is None else chunk
+    return first_rows(df, n, [row], chunk, [dataset])

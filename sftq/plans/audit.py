@@ -18,12 +18,11 @@ from sftq.operators.audit import (
 from sftq.operators.records import PAIRED, record_infos
 from sftq.operators.validate import parse_verdict, yaml_indent_canonical
 
-MEMBER_BITS = 20  # members of one bundle that keep their order within their row
-
 
 def member_order(row: Column, member: Column) -> Column:
-    """One number that orders bundle members within a dataset."""
-    return F.shiftleft(row.cast("bigint"), MEMBER_BITS) + F.coalesce(member, F.lit(0))
+    """``STRUCT<i, j>`` that orders bundle members within a dataset."""
+    first = F.coalesce(member, F.lit(0)).cast("bigint")
+    return F.struct(row.cast("bigint").alias("i"), first.alias("j"))
 
 
 def measure_records(df: DataFrame, yaml_style: bool = True) -> DataFrame:

@@ -20,8 +20,17 @@ from sftq.operators.records import extract_pair
 from sftq.operators.select import is_kept, limit_global, limit_per_dataset, score_and_format
 from sftq.plans.audit import audit_records
 from sftq.plans.evaluate import evaluate_records
-from sftq.sources.jsonl import parse_records, scan_records
-from sftq.sources.sinks import read_scored, with_evaluation, write_by_task, write_scored, write_summary
+from sftq.sources.jsonl import parse_records, scan_order, scan_records
+from sftq.sources.sinks import (
+    evaluation_text,
+    read_scored,
+    with_evaluation,
+    write_by_task,
+    write_scored,
+    write_summary,
+)
+
+LINE_ORDER = ("block_start", "line_no")
 
 
 def score_files(
@@ -34,21 +43,28 @@ def score_files(
     max_records: int = 0,
     max_retries: int = MAX_RETRIES,
     partitions: int | None = None,
-) -> None:
+) -> dict[str, int]:
     """Judge every record below ``root`` and write it with its ``evaluation`` to ``out``.
 
-    One pass that ends in the write, so no record is judged twice.
+    One pass that ends in the write, so no record is judged twice; returns the count of
+    processed records. ``partitions`` deals the raw lines to that many tasks by their order:
+    a shard is in few tasks, and its lines keep their order.
     """
     lines = scan_records(spark, root, parse=False)
     lines = limit_global(
         lines, max_records, line=("block_start", "line_no"), chunk=F.col("block_start")
     )
+    if partitions:
+        lines = lines.repartitionByRange(partitions, *scan_order())
+    seen = Observation()
     pairs = extract_pair(parse_records(lines)).select(
-        "rel_path", "raw", "prompt", "output", "output_format"
+        "rel_path", *LINE_ORDER, "raw", "prompt", "output", "output_format"
     )
-    scored = evaluate_records(pairs, make_scorer, model, yaml_style, max_retries, partitions)
-    line = with_evaluation(F.col("raw"), F.col("evaluation"))
-    write_scored(scored.select("rel_path", line.alias("line")), out)
+    pairs = pairs.observe(seen, F.count(F.lit(1)).alias("processed"))
+    scored = evaluate_records(pairs, make_scorer, model, yaml_style, max_retries)
+    line = with_evaluation(F.col("raw"), value=evaluation_text(F.col("evaluation")))
+    write_scored(scored.select("rel_path", *LINE_ORDER, line.alias("line")), out, order=LINE_ORDER)
+    return seen.get
 
 
 def filter_files(
@@ -60,15 +76,15 @@ def filter_files(
 ) -> dict[str, int]:
     """Write the kept records of ``scored`` to ``out``; returns processed and kept counts.
 
-    The counts are observed while writing, so the shards are read once.
+    ``scored`` is any tree of scored JSON lines, or what ``score_files`` wrote. The counts are observed while writing, so the shards are read once.
     """
     seen = Observation()
     rows = score_and_format(parse_records(read_scored(spark, scored)))
     kept = is_kept(F.col("usable"), F.col("score"), F.col("format"), min_score, require_usable_flag)
-    rows = rows.select("rel_path", "raw", kept.alias("kept")).observe(
+    rows = rows.select("rel_path", *LINE_ORDER, "raw", kept.alias("kept")).observe(
         seen, F.count(F.lit(1)).alias("processed"), F.count_if("kept").alias("kept")
     )
-    write_scored(rows.where("kept"), out, line="raw")
+    write_scored(rows.where("kept"), out, line="raw", order=LINE_ORDER)
     return seen.get
 
 
@@ -80,7 +96,7 @@ def audit_datasets(
     The measured records are written once and every report reads that table.
     """
     measured = audit_records(limit_per_dataset(df, max_rows), yaml_style)
-    measured = measured.drop("metadata", "raw").withColumn("messages", F.to_json("messages"))
+    measured = measured.drop("metadata", "raw", "assistant_text").withColumn("messages", F.to_json("messages"))
     measured.write.parquet(f"{out}/measured")
     table = df.sparkSession.read.schema(measured.schema).parquet(f"{out}/measured")
     write_by_task(route_rows(table), f"{out}/tasks", save_errors)

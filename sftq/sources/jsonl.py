@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import posixpath
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,11 +30,24 @@ def parse_records(df: DataFrame, raw: str = "raw", out: str = "record") -> DataF
     return df.withColumn("_pair", read).withColumn(out, once(record)).drop("_pair")
 
 
+_STORE = r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?(?=/)"
+
+
+def resolved_root(spark: SparkSession, root: str) -> str:
+    """The absolute path of a folder without its store, ``.`` and ``..`` resolved; no globs."""
+    if re.search(r"[*?\[{]", root):
+        raise ValueError(f"one folder is needed, not a pattern: {root}")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(root)
+    store = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    return posixpath.normpath(re.sub(_STORE, "", store.makeQualified(hadoop).toString()))
+
+
 def relative_path(file_path: Column, root: str) -> Column:
-    """Path below ``root``, decoded; ``+`` is a plain character in paths."""
+    """Path below the resolved ``root``, decoded; ``+`` is a plain character in paths."""
     decoded = F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
-    below = root.rstrip("/").split(":", 1)[-1].replace("//", "/") + "/"
-    return F.substr(decoded, F.locate(below, decoded) + len(below))
+    plain, below = F.regexp_replace(decoded, _STORE, ""), root.rstrip("/") + "/"
+    outside = F.raise_error(F.concat(F.lit(f"not below {below}: "), plain)).cast("string")
+    return F.when(plain.startswith(below), F.substr(plain, F.lit(len(below) + 1))).otherwise(outside)
 
 
 def scan_records(
@@ -43,12 +59,13 @@ def scan_records(
     lines are numbered upwards within each split rather than from the top of the file.
     ``raw`` keeps the line as it is and ``record`` is its parsed form.
     """
+    below = resolved_root(spark, root)
     lines = (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
         .text(root)
         .select(
-            relative_path(F.col("_metadata.file_path"), root).alias("rel_path"),
+            relative_path(F.col("_metadata.file_path"), below).alias("rel_path"),
             F.col("_metadata.file_block_start").alias("block_start"),
             F.monotonically_increasing_id().alias("line_no"),
             strip(F.col("value")).alias("raw"),

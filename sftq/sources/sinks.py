@@ -6,11 +6,13 @@ import json
 from collections.abc import Sequence
 
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sftq.functions.whitespace import strip
+from sftq.sources.jsonl import scan_records
 
 
 @F.arrow_udf(T.StringType())
@@ -24,32 +26,59 @@ def _replace_evaluation(raw: pa.Array, evaluation: pa.Array) -> pa.Array:
     return pa.array([replaced(r, e) for r, e in pairs], pa.string())
 
 
-def with_evaluation(raw: Column, evaluation: Column) -> Column:
-    """The record's JSON text with its ``evaluation`` member set.
+def evaluation_text(evaluation: Column) -> Column:
+    """The scoring plan's ``evaluation`` as JSON: nulls stay, but for those of ``llm.meta``.
+
+    Skipped records have no ``meta``, judged ones only the fields that the judge gave.
+    """
+    whole = {"ignoreNullFields": "false"}
+    open_end = lambda c: F.regexp_replace(F.to_json(c, whole), r"\}$", "")
+    meta = F.concat(F.lit(',"meta":'), F.to_json(evaluation["llm"]["meta"]))
+    llm = F.concat(open_end(evaluation["llm"].dropFields("meta")), F.coalesce(meta, F.lit("")), F.lit("}"))
+    ends = F.to_json(F.struct(evaluation["usable"].alias("usable"), evaluation["timestamp"].alias("timestamp")), whole)
+    starts = open_end(F.struct(evaluation["extraction"].alias("extraction"), evaluation["grammar"].alias("grammar")))
+    return F.concat(starts, F.lit(',"llm":'), llm, F.lit(","), F.substr(ends, F.lit(2)))
+
+
+def with_evaluation(raw: Column, evaluation: Column | None = None, value: Column | None = None) -> Column:
+    """The record's JSON text with its ``evaluation`` member set, from a column or as JSON ``value``.
 
     The member is appended to the text, so all other fields stay exactly as they were;
     only records that already carry one are rebuilt.
     """
-    value = F.to_json(evaluation, {"ignoreNullFields": "false"})
+    if value is None:
+        value = F.to_json(evaluation, {"ignoreNullFields": "false"})
     present = F.array_contains(F.json_object_keys(raw), "evaluation")
     body = F.regexp_replace(strip(raw), rf"\s*+\}}$", "")
     comma = F.when(strip(body) == "{", "").otherwise(", ")
     appended = F.concat(body, comma, F.lit('"evaluation": '), value, F.lit("}"))
     odd = F.coalesce(present, F.lit(True))
-    return F.when(odd, _replace_evaluation(F.when(odd, raw), value)).otherwise(appended)
+    return F.when(odd, _replace_evaluation(F.when(odd, raw), F.when(odd, value))).otherwise(appended)
 
 
-def write_scored(df: DataFrame, path: str, line: str = "line", shard: str = "rel_path") -> None:
-    """JSON lines, one folder per input shard. Rows stay in the tasks that hold them."""
-    df.select(shard, F.col(line).alias("value")).write.partitionBy(shard).option(
+def write_scored(
+    df: DataFrame, path: str, line: str = "line", shard: str = "rel_path", order: Sequence[str] = ()
+) -> None:
+    """JSON lines, one folder per input shard. Rows stay in the tasks that hold them.
+
+    Within a task they are sorted by shard and ``order``, so a file keeps its shard's order.
+    """
+    rows = df.sortWithinPartitions(shard, *order) if order else df
+    rows.select(shard, F.col(line).alias("value")).write.partitionBy(shard).option(
         "compression", "none"
     ).text(path)
 
 
-def read_scored(spark: SparkSession, path: str) -> DataFrame:
-    """What ``write_scored`` wrote: ``rel_path`` and the ``raw`` lines."""
-    schema = "value string, rel_path string"
-    return spark.read.schema(schema).text(path).select("rel_path", F.col("value").alias("raw"))
+def read_scored(spark: SparkSession, path: str, glob: str = "*.{jsonl,txt}") -> DataFrame:
+    """``rel_path``, ``raw`` and the order of the lines of a tree of scored files.
+
+    A plain tree of shards is read as it is. In what ``write_scored`` wrote, the shard is the
+    name of the folder, not the path of the part file.
+    """
+    lines = scan_records(spark, path, parse=False, glob=glob)
+    folder = F.regexp_extract("rel_path", r"^rel_path=([^/]*)/", 1)
+    shard = F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
+    return lines.withColumn("rel_path", F.when(folder != "", shard).otherwise(F.col("rel_path")))
 
 
 def write_by_task(df: DataFrame, path: str, save_errors: bool = False) -> None:
@@ -69,9 +98,11 @@ def write_summary(
 
     Adaptive execution writes a small table as one file; sorted rows stay sorted across files.
     """
-    table = df.select(*columns) if columns else df
+    # Kept on disk for the second format; what a lost executor held is computed again.
+    table = (df.select(*columns) if columns else df).persist(StorageLevel.DISK_ONLY)
     nested = {f.name for f in table.schema if f.dataType.simpleString().startswith(("map", "array", "struct"))}
     flat = table.select(*[F.to_json(c).alias(c) if c in nested else c for c in table.columns])
     csv = {"header": "true", "escape": '"', "nullValue": null_text}
     flat.write.options(**csv).csv(f"{path}/csv")
     table.write.option("ignoreNullFields", False).json(f"{path}/json")
+    table.unpersist()

@@ -59,37 +59,44 @@ def test_escape_counts_match_python(spark):
                 assert row[name] == len(re.findall(pattern, row.t)), (name, row.t)
 
 
-def inline_tables(text):
-    """Character by character, with the string states spelled out."""
-    found, opened, quote, i = [0, 0, 0], [], "", 0
-    while i < len(text):
-        c = text[i]
-        if quote:
-            i += quote == '"' and c == "\\"
-            quote = "" if c == quote else quote
-        elif c in "\"'":
-            quote = c
-        elif c == "{":
-            opened.append(i)
-        elif c == "}" and opened:
-            at = opened.pop()
-            if "=" in text[at:i]:
-                lead = text[:at].rstrip()[-1:]
-                found[0] += 1
-                found[1] += lead == "="
-                found[2] += lead in ("[", ",")
-        i += 1
-    return tuple(found)
-
-
-def test_inline_tables_match_python(spark):
+#: Lines and the inline tables in them: all, after an equals sign, as items of an array.
+INLINE_LINES = [
+    ("k = { a = 1 }", (1, 1, 0)),
+    ("k =\t{ a = { b = 1 } }", (2, 2, 0)),
+    ("x = [ { y = 2 }, { z = 3 } ]", (2, 0, 2)),
+    ("x = [{ y = { q = 1 } }]", (2, 1, 1)),
+    ('s = "{ a = 1 }"', (0, 0, 0)),
+    ("s = '{ a = 1 }'", (0, 0, 0)),
+    ('s = "quote \\" { a = 1 }"', (0, 0, 0)),
+    ("e = {}", (0, 0, 0)),
+    ("say ( { q = 1 } )", (1, 0, 0)),
+    ('k = { a = "}" }', (1, 1, 0)),
+    ("}", (0, 0, 0)),
+    ("plain", (0, 0, 0)),
+]
+
+
+def test_inline_tables_of_composed_texts(spark):
     rng = random.Random(6)
-    atoms = ["{", "}", "{ a = 1 }", "=", "[", ",", '"', "'", "\\", " ", "\n", "x", '"}"', " "]
-    texts = ["k = { a = { b = 1 } }", 'x = [ { y = "}" }, { z = 1 } ]', '"abc\\', ""]
-    texts += ["".join(rng.choices(atoms, k=rng.randint(0, 18))) for _ in range(3000)]
-    df = spark.createDataFrame([(t,) for t in texts], "t string")
-    for row in df.select("t", A.toml_inline_tables(F.col("t")).alias("n")).collect():
-        assert tuple(row.n[c] or 0 for c in ("total", "after_eq", "in_array")) == inline_tables(row.t), repr(row.t)
+    chosen = [[x] for x in INLINE_LINES] + [rng.choices(INLINE_LINES, k=rng.randint(0, 6)) for _ in range(800)]
+    rows = [("\n".join(t for t, _ in parts), [sum(n[i] for _, n in parts) for i in range(3)]) for parts in chosen]
+    rows += [("k = { a = 1 }\n{ b = 2", [1, 1, 0]), ('"abc\\', [0, 0, 0])]
+    df = spark.createDataFrame(rows, "t string, want array<int>")
+    for row in df.select("t", "want", A.toml_inline_tables(F.col("t")).alias("n")).collect():
+        assert [row.n[c] or 0 for c in ("total", "after_eq", "in_array")] == row.want, repr(row.t)
+
+
+def test_headers_are_read_in_linear_time(spark):
+    import time
+
+    lines = ["[" + " " * 100_000 + "x", "[" + " " * 100_000 + "a . b ]  ", "[[ c ]]", "[[]", "[ ]", "[[d]", "[c.e]", "k = 1"]
+    df = spark.createDataFrame([("\n".join(lines),)], "t string")
+    df.select(A.toml_structure(F.col("t"))).collect()
+    start = time.perf_counter()
+    got = df.select(A.toml_structure(F.col("t")).alias("s")).first().s
+    assert time.perf_counter() - start < 5
+    assert (got.array_table_headers, got.table_headers, got.max_header_depth) == (2, 4, 2)
+
 
 
 def test_toml_structure(spark):

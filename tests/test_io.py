@@ -1,11 +1,17 @@
 import json
+import sys
 
+import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from sftq.operators.select import limit_global
+from sftq.plans.run import filter_files, score_files
 from sftq.sources.jsonl import parse_records, scan_records
 from sftq.sources.sinks import read_scored, with_evaluation, write_scored, write_summary
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def test_scan(spark, tmp_path):
     for name, text in {
@@ -23,9 +29,10 @@ def test_scan(spark, tmp_path):
         ("a-b/x y+é.jsonl", 4), ("a/b.jsonl", 1), ("a/b.jsonl", 2), ("a/b.jsonl", 3),
     ]
     assert {r.raw for r in rows} >= {'{"n": 2}'}
-    for top_k in (0, 10):
-        first = limit_global(df, 2, line=("block_start", "line_no"), chunk=F.col("block_start"), top_k=top_k)
-        assert sorted(r.n for r in first.select(F.variant_get("record", "$.n", "int").alias("n")).collect()) == [1, 2]
+    for n in (1, 2, 4, 9, 200_000):
+        first = limit_global(df, n, line=("block_start", "line_no"), chunk=F.col("block_start"))
+        found = first.select(F.variant_get("record", "$.n", "int").alias("n"))
+        assert sorted(r.n for r in found.collect()) == list(range(1, min(n, 4) + 1))
 
 
 def test_order_survives_file_splits(spark, tmp_path):
@@ -34,7 +41,7 @@ def test_order_survives_file_splits(spark, tmp_path):
     try:
         df = scan_records(spark, str(tmp_path))
         assert df.select("block_start").distinct().count() > 3
-        first = limit_global(df, 1234, line=("block_start", "line_no"), chunk=F.col("block_start"), top_k=0)
+        first = limit_global(df, 1234, line=("block_start", "line_no"), chunk=F.col("block_start"))
         numbers = [r.n for r in first.select(F.variant_get("record", "$.n", "int").alias("n")).collect()]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
@@ -61,3 +68,53 @@ def test_summary(spark, tmp_path):
     text = "".join(f.read_text() for f in (tmp_path / "s" / "csv").glob("*.csv"))
     assert 'v,k,m\n"q""x","a,b","{""r"":1}"\n' in text
     assert spark.read.json(str(tmp_path / "s" / "json")).first().m.r == 1
+
+
+def test_roots_give_right_paths_or_raise(spark, tmp_path, monkeypatch):
+    (tmp_path / "p" / "q").mkdir(parents=True)
+    (tmp_path / "p" / "q" / "a.jsonl").write_text('{"n": 1}\n')
+    monkeypatch.chdir(tmp_path)
+    for root in (f"{tmp_path}/p", f"{tmp_path}/p/", f"{tmp_path}/p/../p", f"file://{tmp_path}/p"):
+        assert [r.rel_path for r in scan_records(spark, root).collect()] == ["q/a.jsonl"]
+    with pytest.raises(ValueError):
+        scan_records(spark, f"{tmp_path}/*")
+
+
+def judged_by(prompts):
+    reply = json.dumps({"usable": True, "score": 90, "rationale_en": "ok"})
+    return [{"ok": True, "text": reply, "error": None, "raw": {"model": "m", "eval_count": 3}} for _ in prompts]
+
+
+def make_judge():
+    return judged_by
+
+
+def test_scored_files_keep_order_and_shape(spark, tmp_path):
+    (tmp_path / "in" / "d").mkdir(parents=True)
+    for shard in range(3):
+        said = lambda i: [{"role": "user", "content": "p"}, {"role": "assistant", "content": '{"a": 1}' if i % 4 else "{"}]
+        lines = [{"n": i, "messages": said(i), "output_format": "JSON"} for i in range(100)]
+        (tmp_path / "in" / "d" / f"{shard}.jsonl").write_text("".join(json.dumps(x) + "\n" for x in lines))
+    counts = score_files(spark, str(tmp_path / "in"), str(tmp_path / "out"), make_judge, "stub", partitions=8)
+    assert counts == {"processed": 300}
+    files = sorted((tmp_path / "out").rglob("part-*"))
+    assert len(files) <= 3 + 7
+    for shard in range(3):
+        own = [f for f in files if f"{shard}.jsonl" in str(f.parent)]
+        records = [json.loads(x) for f in own for x in f.read_text(encoding="utf-8").splitlines()]
+        assert [r["n"] for r in records] == list(range(100))
+        for r in records:
+            llm = r["evaluation"]["llm"]
+            if r["n"] % 4:
+                assert llm["meta"] == {"model": "m", "eval_count": 3} and llm["error"] is None
+            else:
+                assert "meta" not in llm and llm["error"]
+    kept = filter_files(spark, str(tmp_path / "out"), str(tmp_path / "kept"), {"json": 80})
+    assert kept == {"processed": 300, "kept": 225}
+    for shard in range(3):  # the same rows as a plain tree of shards
+        plain = tmp_path / "plain" / "d" / f"{shard}.jsonl"
+        plain.parent.mkdir(parents=True, exist_ok=True)
+        own = [f for f in files if f"{shard}.jsonl" in str(f.parent)]
+        plain.write_text("".join(f.read_text(encoding="utf-8") for f in own))
+    assert filter_files(spark, str(tmp_path / "plain"), str(tmp_path / "kept2"), {"json": 80}) == kept
+    assert {r.rel_path for r in read_scored(spark, str(tmp_path / "kept2")).collect()} == {f"d/{i}.jsonl" for i in range(3)}

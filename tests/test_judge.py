@@ -1,10 +1,11 @@
 import json
 import sys
 
+import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from sftq.operators.judge import ask, checklist, parse_judgement, resolve_attempts
+from sftq.operators.judge import ask, checklist, judge, parse_judgement, resolve_attempts
 from sftq.plans.evaluate import evaluate_records
 
 
@@ -49,53 +50,58 @@ def test_only_repeated_prompts_are_asked_again():
     assert ask(scorer, []) == []
 
 
-def expected(text):
-    shown = text.strip()
-    body = shown
-    if not shown.startswith("{") and 0 <= shown.find("{") < shown.rfind("}"):
-        body = shown[shown.find("{") : shown.rfind("}") + 1]
-    if not shown:
-        return False, 0, "", "llm_empty_response"
-    try:
-        judged = json.loads(body)
-        score = int(judged.get("score"))
-    except Exception as error:
-        return False, 0, "", f"llm_json_parse_fail: {error}"
-    return bool(judged.get("usable")), max(0, min(score, 100)), str(judged.get("rationale_en") or ""), None
-
-
+BAD = "llm_json_parse_fail: "
+#: Replies and what they must give: usable, score, rationale, error.
 REPLIES = [
-    '{"usable": true, "score": 88, "rationale_en": "fine"}',
-    'Sure: {"usable": "false", "score": " 90 ", "rationale_en": null} ok?',
-    '{"usable": 0, "score": 87.9}',
-    '{"usable": [], "score": "87.5"}',
-    '{"usable": [0], "score": true, "rationale_en": ""}',
-    '{"usable": 1}',
-    '{"score": 250}',
-    '{"score": -5, "usable": NaN}',
-    '{"score": 5, "score": 6}',
-    '{"score": 5} trailing',
-    "[1]",
-    "[{\"score\": 3}]",
-    "}{",
-    "no json",
-    '{"a": ',
-    " \n ",
-    "",
-    '😀 {"score": 4, "usable": true} 😀',
+    ('{"usable": true, "score": 88, "rationale_en": "fine"}', (True, 88, "fine", None)),
+    ('Sure: {"usable": "false", "score": " 90 ", "rationale_en": null} ok?', (True, 90, "", None)),
+    ('{"usable": 0, "score": 87.9}', (False, 87, "", None)),
+    ('{"usable": [], "score": "87.5"}', (False, 0, "", BAD + "invalid literal for int() with base 10: '87.5'")),
+    ('{"usable": [0], "score": true, "rationale_en": ""}', (True, 1, "", None)),
+    (
+        '{"usable": 1}',
+        (False, 0, "", BAD + "int() argument must be a string, a bytes-like object or a real number, not 'NoneType'"),
+    ),
+    ('{"score": 250}', (False, 100, "", None)),
+    ('{"score": -5, "usable": NaN}', (True, 0, "", None)),
+    ('{"score": 5, "score": 6}', (False, 6, "", None)),
+    ('{"score": 5} trailing', (False, 0, "", BAD + "Extra data: line 1 column 14 (char 13)")),
+    ("[1]", (False, 0, "", BAD + "'list' object has no attribute 'get'")),
+    ('[{"score": 3}]', (False, 3, "", None)),
+    ("}{", (False, 0, "", BAD + "Expecting value: line 1 column 1 (char 0)")),
+    ("no json", (False, 0, "", BAD + "Expecting value: line 1 column 1 (char 0)")),
+    ('{"a": ', (False, 0, "", BAD + "Expecting value: line 1 column 6 (char 5)")),
+    (" \n ", (False, 0, "", "llm_empty_response")),
+    ("", (False, 0, "", "llm_empty_response")),
+    ('😀 {"score": 4, "usable": true} 😀', (True, 4, "", None)),
 ]
 
 
-def test_judgement_matches_python(spark):
-    df = spark.createDataFrame([(r,) for r in REPLIES], "text string").withColumns(
+def test_judgements_of_known_replies(spark):
+    df = spark.createDataFrame([(r,) for r, _ in REPLIES], "text string").withColumns(
         {"ok": F.lit(True), "error": F.lit(None).cast("string")}
     )
     for row in parse_judgement(df).collect():
         j = row.judgement
-        assert (j.usable, j.score, j.rationale_en, j.error) == expected(row.text), row.text
+        assert (j.usable, j.score, j.rationale_en, j.error) == dict(REPLIES)[row.text], row.text
         assert j.raw_response == row.text.strip()
 
 
+@pytest.mark.parametrize("size", [1, 3, 64])
+def test_scorers_get_small_batches(spark, size):
+    def make():
+        def scorer(prompts):
+            return [{"ok": True, "text": "{}", "error": None, "raw": {"eval_count": len(prompts)}} for _ in prompts]
+
+        return scorer
+
+    rows = spark.createDataFrame([(str(i) if i % 3 else None,) for i in range(30)], "p string").coalesce(1)
+    out = rows.select("p", judge(F.col("p"), make, batch_size=size).alias("r")).collect()
+    assert len(out) == 30
+    sizes = [json.loads(x.r.raw)["eval_count"] for x in out if x.p is not None]
+    assert len(sizes) == 20 and max(sizes) == min(size, 20)
+
+
 def test_failed_call_keeps_text_and_error(spark):
     df = spark.createDataFrame([(" x ", False, "http_error: 500")], "text string, ok boolean, error string")
     assert tuple(parse_judgement(df).first().judgement) == (False, 0, "", " x ", "http_error: 500")
@@ -117,7 +123,8 @@ def test_attempt_that_counts(spark):
 def test_checklists(spark):
     df = spark.createDataFrame([("YAML",), (" yml",), ("ini",), (None,)], "f string")
     got = [r[0].split("\n")[0] for r in df.select(checklist(F.col("f"))).collect()]
-    assert got == ["What to look for in a YAML answer:"] * 2 + ["What to look for:"] * 2
+    assert [x.startswith("Rubric (YAML 1.2)") for x in got] == [True, True, False, False]
+    assert got[2] == got[3] and got[2].startswith("Rubric:")
 
 
 def make_scorer():

@@ -56,29 +56,30 @@ def lines(spark):
     return spark.createDataFrame(rows, "rel_path string, line_no bigint").repartition(5)
 
 
-@pytest.mark.parametrize("n", [0, 1, 49, 50, 51, 137, 250, 400])
-@pytest.mark.parametrize("top_k", [0, 1000])
-def test_limit_global(lines, n, top_k):
-    got = {tuple(r) for r in limit_global(lines, n, chunk=F.floor(F.col("line_no") / 7), top_k=top_k).collect()}
+@pytest.mark.parametrize("n", [0, 1, 49, 50, 51, 137, 250, 400, 100_001])
+def test_limit_global(lines, n):
+    got = {tuple(r) for r in limit_global(lines, n, chunk=F.floor(F.col("line_no") / 7)).collect()}
     rows = sorted((tuple(r) for r in lines.collect()), key=lambda r: (r[0].split("/"), r[1]))
     assert got == set(rows[:n] if n else rows)
 
 
-@pytest.mark.parametrize("n", [0, 1, 8, 50, 99])
-@pytest.mark.parametrize("top_k", [0, 1000])
-def test_limit_per_dataset(lines, n, top_k):
+@pytest.mark.parametrize("n", [0, 1, 8, 50, 99, 1000])
+def test_limit_per_dataset(lines, n):
     df = lines.select(F.when(F.col("rel_path") != "a", F.col("rel_path")).alias("dataset"), F.col("line_no").alias("i"))
-    got = sorted((tuple(r) for r in limit_per_dataset(df, n, chunk=F.floor(F.col("i") / 7), top_k=top_k).collect()), key=repr)
+    got = sorted((tuple(r) for r in limit_per_dataset(df, n, chunk=F.floor(F.col("i") / 7)).collect()), key=repr)
     groups = {}
     for r in sorted((tuple(r) for r in df.collect()), key=lambda r: r[1]):
         groups.setdefault(r[0], []).append(r)
     assert got == sorted((r for g in groups.values() for r in (g[:n] if n else g)), key=repr)
 
 
-def test_small_limit_cuts_before_the_shuffle(lines):
-    df = limit_per_dataset(lines, 5, dataset="rel_path", row="line_no")
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") == 2
+def test_limits_gather_no_rows(lines):
+    """Rows meet one position a group: no sort, top-k or window over whole rows."""
+    wide = lines.withColumn("raw", F.repeat(F.lit("x"), 100))
+    for df in (limit_global(wide, 5), limit_per_dataset(wide, 5, dataset="rel_path", row="line_no")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Limit" not in plan
+        assert all("raw" not in x for x in plan.splitlines() if "Window" in x or "Aggregate" in x or "Sort" in x)
 
 
 def test_counts(spark, lines):
