@@ -79,6 +79,29 @@ def toml_inline_tables(t):
     return counts.select("record_id", "n.total", "n.after_eq", "n.in_array")
 
 
+@query(
+    "toml_inline_tables_varied",
+    """SELECT record_id, 2 * items + 2 * nested AS total, 2 * nested AS after_eq, 2 * items AS in_array FROM $toml_varied v
+       WHERE items + nested > 0""",
+)
+def toml_inline_tables_varied(t):
+    counts = t.toml_varied.where("items + nested > 0").withColumn("n", A.toml_inline_tables(F.col("text")))
+    return counts.select("record_id", "n.total", "n.after_eq", "n.in_array")
+
+
+@query(
+    "toml_structure_varied",
+    """SELECT record_id, arrays AS array_table_headers, CASE WHEN name = 'r.q' THEN arrays ELSE 0 END AS array_table_headers_with_dot,
+         tables + CASE WHEN child THEN 1 ELSE 0 END AS table_headers,
+         greatest(CASE WHEN tables > 0 THEN 2 ELSE 0 END, CASE WHEN arrays > 0 THEN CASE WHEN name = 'r.q' THEN 2 ELSE 1 END ELSE 0 END,
+           CASE WHEN child THEN CASE WHEN name = 'r.q' THEN 3 ELSE 2 END ELSE 0 END) AS max_header_depth,
+         CASE WHEN child AND arrays > 0 THEN 1 ELSE 0 END AS child_tables_under_array
+       FROM $toml_varied v""",
+)
+def toml_structure_varied(t):
+    return t.toml_varied.select("record_id", A.toml_structure(unix_lines(F.col("text"))).alias("s")).select("record_id", "s.*")
+
+
 @query(
     "toml_structure",
     """SELECT record_id, 1 AS array_table_headers, 1 AS array_table_headers_with_dot, 1 AS table_headers, 3 AS max_header_depth,

@@ -143,6 +143,17 @@ SELECT record_id, dataset, fmt AS output_format, record_id % 3 <> 0 AS usable, t
   END FROM $documents) u
 """
 
+# TOML whose headers and inline tables vary with the document; its text is one string in it.
+TOML_VARIED = f"""
+SELECT doc_id AS record_id, tables, arrays, name, child, items, nested,
+  'doc = "' || {json_escaped('text')} || '"' || chr(10) || repeat('[t.a]' || chr(10) || 'k = 1' || chr(10), tables)
+  || repeat(' [[ ' || name || ' ]]' || chr(10), arrays) || CASE WHEN child THEN '[' || name || '.c]  ' || chr(10) ELSE '' END
+  || repeat('x = [ {{ y = 2 }}, {{ z = "}}" }} ]' || chr(10), items) || repeat('k = {{ a = {{ b = 1 }} }}' || chr(10), nested) AS text
+FROM (SELECT doc_id, text, CAST(doc_id % 4 AS INT) AS tables, CAST(doc_id % 3 AS INT) AS arrays,
+ CASE WHEN doc_id % 2 = 0 THEN 'r' ELSE 'r.q' END AS name, doc_id % 5 < 2 AS child,
+ CAST(doc_id % 7 AS INT) AS items, CAST(doc_id % 11 AS INT) AS nested FROM $documents d) v
+"""
+
 FIXTURES = {
     "sft_payloads": SFT_PAYLOADS,
     "sft_records": SFT_RECORDS,
@@ -152,4 +163,5 @@ FIXTURES = {
     "judge_attempts": JUDGE_ATTEMPTS,
     "sft_scored": SFT_SCORED,
     "escape_texts": ESCAPE_TEXTS,
+    "toml_varied": TOML_VARIED,
 }
