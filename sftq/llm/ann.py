@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sftq.llm.common import stored
+
 K, EVERY = 20, 20
 #: Rows of a cell, on average, and of a tile: they bound a task's memory.
 CELL_QUERIES, CELL_CANDIDATES, TILE = 2048, 16384, 2048
@@ -129,7 +131,7 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
     ``vec_id``. Repeated rows count once; of several vectors with one id the greatest, compared
     component by component, counts.
     """
-    rows = sound(vectors)
+    rows = stored(sound(vectors))
     n = rows.count()
     across, down = max(1, -(-n // CELL_CANDIDATES)), max(1, -(-n // every // CELL_QUERIES))
     row = F.pmod(F.xxhash64("vec_id"), F.lit(down)).cast("int").alias("row")
