@@ -10,6 +10,7 @@ number among the pieces of their length.
 
 from __future__ import annotations
 
+import base64
 import re
 import zlib
 from collections.abc import Iterator
@@ -23,7 +24,7 @@ from sftq.llm.common import stored
 
 CAPACITY = 2048
 END = 0
-TOKENIZER = "byte_bpe_50k.json"
+TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 #: Words whose tokens a task remembers; then it starts anew.
 REMEMBERED = 300_000
 #: White space as the tokenizer's own splitting sees it.
@@ -31,21 +32,39 @@ _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: The tokenizer never joins across these parts, so each can be encoded by itself.
 PARTS = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
+#: How the tokenizer splits a text, and the first letter beyond Latin.
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+LATIN_END = "\u0250"
+
 
 class Encoder(dict):
-    """Token ids of a text as little-endian 32-bit bytes; remembers the parts of texts."""
+    """Token ids of a text as little-endian 32-bit bytes; remembers the parts of texts.
+
+    ``ranks`` is the tokenizer's vocabulary in merge order. With it, parts of Latin letters
+    are merged by tiktoken, which gives the same ids three times as fast; all others, and texts
+    with a special token, go to the tokenizer itself.
+    """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, ranks: str | None = None):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.fast = Tokenizer.from_file(path), None
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        if ranks:
+            import tiktoken
+
+            with open(ranks, "rb") as lines:
+                table = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+            self.fast = tiktoken.Encoding("parts", pat_str=SPLIT, mergeable_ranks=table, special_tokens={})
 
     def __missing__(self, part: str) -> bytes:
         if len(self) >= REMEMBERED:
             self.clear()
-        ids = self.tokenizer.encode(part, add_special_tokens=False).ids
+        if self.fast and max(part) < LATIN_END:
+            ids = self.fast.encode_ordinary(part)
+        else:
+            ids = self.tokenizer.encode(part, add_special_tokens=False).ids
         self[part] = value = np.array(ids, "<u4").tobytes()
         return value
 
@@ -58,11 +77,13 @@ class Encoder(dict):
 PIECES = "block long, place long, doc_id long, piece int, start long, length int, ids_crc32 long"
 
 
-def pieces_of(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iterator[pa.RecordBatch]:
+def pieces_of(
+    batches: Iterator[pa.RecordBatch], path: str, ranks: str | None, capacity: int
+) -> Iterator[pa.RecordBatch]:
     """Rows ``doc_id, text`` to pieces, numbered by length within the task (``block``)."""
     from pyspark import TaskContext
 
-    encoder, block = Encoder(path), TaskContext.get().partitionId()
+    encoder, block = Encoder(path, ranks), TaskContext.get().partitionId()
     counts = np.zeros(capacity + 1, np.int64)
     end = np.array([END], "<u4").tobytes()
     for batch in batches:
@@ -147,21 +168,24 @@ def placed(batches: Iterator[pa.RecordBatch], rows: np.ndarray) -> Iterator[pa.R
         yield pa.RecordBatch.from_pydict(columns | {"sequence_id": rows[at, 2] + number - rows[at, 1], "offset": rows[at, 3]})
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer: str | None = None, ranks: str | None = None, capacity: int = CAPACITY
+) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` for every piece.
 
     A document is its tokens and one end token; a null text is empty and one token long.
     Longer ones than ``capacity`` are cut, the first piece taking the remainder. Repeated
     rows are documents of their own. ``tokenizer`` is a file of the tokenizers library that
-    all executors see; by default the public byte-level one.
+    all executors see, ``ranks`` the same vocabulary for tiktoken, if there is one; by
+    default the public byte-level one.
     """
     if tokenizer is None:
         import public_tokenizers
 
-        tokenizer = public_tokenizers.path(TOKENIZER)
-    path = str(tokenizer)
+        tokenizer, ranks = public_tokenizers.path(TOKENIZER), public_tokenizers.path(RANKS)
+    path, ranks = str(tokenizer), ranks and str(ranks)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    pieces = stored(texts.mapInArrow(lambda batches: pieces_of(batches, path, capacity), PIECES))
+    pieces = stored(texts.mapInArrow(lambda batches: pieces_of(batches, path, ranks, capacity), PIECES))
     # One row for each task and length.
     blocks = stored(pieces.groupBy("block", "length").agg(F.count("*").alias("n")))
     histogram = {r["length"]: r["n"] for r in blocks.groupBy("length").agg(F.sum("n").alias("n")).collect()}

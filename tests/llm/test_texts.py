@@ -185,6 +185,19 @@ def test_packing_round_trip(spark):
     assert packing.pack(frames(spark, rows).limit(0)).count() == 0
 
 
+def test_fast_parts_have_the_tokenizers_ids():
+    import public_tokenizers
+
+    paths = [str(public_tokenizers.path(x)) for x in (packing.TOKENIZER, packing.RANKS)]
+    fast, plain = packing.Encoder(*paths), packing.Encoder(paths[0])
+    rng = random.Random(12)
+    letters = "abcdefghiknorstuABEST éñüßàœ'\"-_.,;:!?()[]{}#$%&|<>/0123456789²½\u00ad\u00a0\t\n"
+    for _ in range(4000):
+        text = "".join(rng.choices(letters, k=rng.randrange(1, 40)))
+        whole = np.array(plain.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert fast.encode(text) == plain.encode(text) == whole, repr(text)
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_fullest_is_optimal(seed):
     rng = random.Random(seed)
