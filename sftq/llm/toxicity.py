@@ -127,9 +127,9 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, sample: int =
     """
     known = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
     known = known.withColumn("fold", fold(F.col("doc_id"), folds)).where("fold > 0")
-    texts = docs.select("doc_id", "text").where("doc_id is not null")
-    # Most documents have no label: only what is learned from is kept.
-    training = stored(_bounded(texts.join(known, "doc_id"), 3 * sample).select("doc_id", "text", "label", "fold"))
+    # No more rows than the models learn from: bounded by a parameter, so texts need no shuffle.
+    known = F.broadcast(stored(_bounded(known, 3 * sample)))
+    training = stored(docs.select("doc_id", "text").join(known, "doc_id").select("doc_id", "text", "label"))
     third = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(4))
     rows = docs.select("doc_id", (fold(F.col("doc_id"), folds) == 0).alias("held_out"), "text")
     shares = training.groupBy("label").count().collect()
