@@ -196,8 +196,9 @@ JUDGED = "k1 long, k2 int, lo int, n int, kind byte"
 
 
 def judge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs sorted by name and hash to spans, by comparing neighbours."""
+    """Runs sorted by name, mixed ones first, and hash to spans, by comparing neighbours."""
     settled: list[pa.RecordBatch] = []
+    going_on = False
     for table, start, stop in _windowed(_apart(batches, settled)):
         a, c, k1, k2, lo, n, kind = _arrays(table, "a c k1 k2 lo n kind")
         before, after = _neighbours(a)
@@ -207,6 +208,13 @@ def judge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         check = (kind == SINGLE) & ~equal & (before | after)
         # A repeated run meets others of its name: one of its class goes along for comparison.
         witness = (equal | (kind == SAME)) & ((before & ~same_before) | (after & ~same_after))
+        # A mixed row hides runs that are still to be checked, also against classes equal to its own.
+        group = np.cumsum(~before) - 1
+        mixed = np.bincount(group, kind == MIXED) > 0
+        mixed[0] |= going_on
+        mixed = mixed[group]
+        witness |= mixed & (~same_before | np.r_[False, kind[:-1] == MIXED])
+        going_on = bool(mixed[stop - 1])
         for rows, what in ((repeated, REPEATED), (check | (witness & (kind != MIXED)), CHECK)):
             take = start + np.flatnonzero(rows[start:stop])
             if len(take):
@@ -325,7 +333,7 @@ def repeated_spans(docs: DataFrame, width: int = 400, anchor: int = 256, text: s
     keyed = docs.select(F.col(text).alias("text")).where(F.octet_length("text") >= width)
     keyed = keyed.select("text", *text_keys(F.col("text")))
     runs = keyed.mapInArrow(lambda batches: find_runs(batches, width, anchor), RUNS)
-    spans = stored(runs.repartition("a").sortWithinPartitions("a", "c").mapInArrow(judge_runs, JUDGED))
+    spans = stored(runs.repartition("a").sortWithinPartitions("a", F.col("kind") != MIXED, "c").mapInArrow(judge_runs, JUDGED))
     todo = spans.where(F.col("kind") == CHECK).groupBy("k1", "k2").agg(F.collect_set(F.struct("lo", "n")).alias("spans"))
     packed = keyed.select("k1", "k2", zipped_column(F.col("text")).alias("zipped"))
     windows = packed.join(todo, ["k1", "k2"]).mapInArrow(lambda batches: find_windows(batches, width), WINDOWS)

@@ -129,6 +129,23 @@ def test_repeats_equal_brute_force(spark, width, anchor):
     assert got == dict(enumerate(want))
 
 
+def test_repeats_of_runs_mixed_in_one_task(spark):
+    """X and Y share a name in one task; Z in another shares all of X's first run, Y one window of it."""
+    width, anchor = 40, 16
+    mixed, others = [], []
+    for seed in range(24):
+        rng = random.Random(seed)
+        letters = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+        x = letters(120)
+        n = int(repeats.runs_of([x.encode()], width, anchor, repeats.Roller(1), repeats.Roller(2))[4][0])
+        mixed += [x, letters(60) + x[n // 2 : n // 2 + width] + letters(60)]
+        others.append(x[: n + width - 1] + letters(60))
+    parts = [list(enumerate(mixed)), list(enumerate(others, len(mixed)))]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(parts, 2).flatMap(lambda part: part), DOCS)
+    got = {r["doc_id"]: tuple(r)[1:] for r in repeats.remove_repeats(df, width, anchor).selectExpr("doc_id", "repeat_cut.n_bytes", "repeat_cut.n_removed", "repeat_cut.n_spans", "sha2(repeat_cut.kept, 256)").collect()}
+    assert got == dict(enumerate(brute_repeats([t.encode() for t in mixed + others], width)))
+
+
 def brute_repeats(texts, width):
     count = Counter(t[i : i + width] for t in texts for i in range(len(t) - width + 1))
     out = []
