@@ -6,10 +6,10 @@ frequent enough and its next-symbol distribution diverges enough from that of it
 suffix in the tree. Its distribution is smoothed with that suffix's, down to the root.
 Each symbol is scored by the longest suffix of its past that is a state.
 
-All training texts are counted. A context or entry must hold a share ``LEAST`` of all
-training symbols, so the tree has no more than ``1 / LEAST`` entries a depth at any corpus
-size: that bounds what is sent to the tasks. The word counts behind the base score have
-no such bound and are joined instead.
+All training texts are counted. A context must be seen ``LEAST`` times, whatever the size
+of the corpus, and keeps all its entries. So the tree grows with the corpus, and it passes
+through the driver to all tasks: nothing but ``DEPTH`` and the variety of the text bounds its
+size there. The word counts behind the base score are joined instead.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from sftq.llm.common import batches_of, binary_list, fold, stored
 
 DEPTH = 5
-LEAST = 2e-7
+#: Times that a context must be seen.
+LEAST = 2
 #: Bits by which a context's own distribution must shorten the training text, for each of its entries.
 GAIN_BITS = 4.0
 #: Weight of the suffix's distribution for each kind of symbol seen after a context.
@@ -120,16 +121,14 @@ def grow(training: DataFrame, least: float = LEAST, gain_bits: float = GAIN_BITS
     """The tree of the texts of ``training`` (``text``)."""
     counted = training.select("text").mapInArrow(count_codes, "code long, n long")
     level = stored(counted.groupBy("code").agg(F.sum("n").alias("n")))
-    total = level.agg(F.sum("n")).first()[0] or 0
-    most = max(2, least * total)
     tables = []
     for depth in range(DEPTH, -1, -1):
         if depth < DEPTH:
             level = level.groupBy(F.col("code").bitwiseAND(F.lit((1 << 8 * (depth + 1)) - 1)).alias("code")).agg(F.sum("n").alias("n"))
             level = stored(level)
         context = F.shiftright("code", 8).alias("context")
-        contexts = level.groupBy(context).agg(F.sum("n").alias("c"), F.count("*").alias("kinds")).where(F.col("c") >= most)
-        tables.append((depth, _columns(contexts, "context", "c", "kinds"), _columns(level.where(F.col("n") >= (most if depth else 1)), "code", "n")))
+        contexts = level.groupBy(context).agg(F.sum("n").alias("c"), F.count("*").alias("kinds")).where(F.col("c") >= least)
+        tables.append((depth, _columns(contexts, "context", "c", "kinds"), _columns(level.join(contexts, context == F.col("context"), "left_semi") if depth else level, "code", "n")))
     tree = None
     for depth, (context, c, kinds), (code, n) in reversed(tables):
         code = code.view(np.uint64)

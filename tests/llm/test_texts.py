@@ -154,6 +154,14 @@ def test_next_symbols_sum_to_one(spark):
         assert (p > 0).all() and abs(p.sum() - 1) < 1e-9
 
 
+def test_rare_contexts_stay_in_a_large_corpus(spark):
+    rare = frames(spark, [(i, "qz", "s") for i in range(3)])
+    filler = spark.range(60).selectExpr("repeat('ab cd ', 70000) AS text")
+    code = np.array([int.from_bytes(b"qz", "big")], np.uint64)
+    small, large = (suffix_tree.grow(df).probability(code)[0] for df in (rare, rare.select("text").union(filler)))
+    assert small > 0.4 and large > 0.4
+
+
 def test_codes_follow_texts():
     bodies = [suffix_tree.symbols(x.split()) for x in (b"", b"ab", b"a b c")]
     codes, start = suffix_tree.codes_of(bodies)
