@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sftq.llm import ann, lines, mixing, packing, quality, repeats, simhash, suffix_tree, toxicity, urls
+from sftq.llm import ann, ledger, lines, mixing, packing, quality, repeats, simhash, suffix_tree, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,7 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_array_dedup": documents(repeats.digest),
     "op9_best_fit_packing": documents(packing.pack),
     "op10_source_mixing": documents(mixing.mixed),
+    "op11_secret_scans": documents(ledger.digest),
 }
 
 #: DuckDB SQL of those that SQL can express.
@@ -39,4 +40,5 @@ ORACLES: dict[str, str] = {
     "op1_nearest_neighbours": ann.ORACLE,
     "op2_url_filters": urls.ORACLE,
     "op5_line_dedup": lines.ORACLE,
+    "op11_secret_scans": ledger.ORACLE,
 }
