@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sftq.llm import ann, divergence, ledger, lines, mixing, packing, quality, repeats, simhash, suffix_tree, toxicity, urls
+from sftq.llm import ann, divergence, ledger, lines, mixing, packing, phrases, quality, repeats, simhash, suffix_tree, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,7 @@ QUERIES: dict[str, Query] = {
     "op9_best_fit_packing": documents(packing.pack),
     "op10_source_mixing": documents(mixing.mixed),
     "op11_secret_scans": documents(ledger.digest),
+    "op12_phrase_collocations": documents(phrases.mine),
     "op13_source_divergence": documents(divergence.audit),
 }
 
@@ -42,5 +43,6 @@ ORACLES: dict[str, str] = {
     "op2_url_filters": urls.ORACLE,
     "op5_line_dedup": lines.ORACLE,
     "op11_secret_scans": ledger.ORACLE,
+    "op12_phrase_collocations": phrases.ORACLE,
     "op13_source_divergence": divergence.ORACLE,
 }
