@@ -38,7 +38,7 @@ _FORMAT_CASE = "CASE expect_format " + " ".join(
     f"WHEN '{fmt.upper()}' THEN '{text.replace(chr(39), chr(39) * 2)}'" for fmt, text in J.CHECKLISTS.items()
 )
 _PROMPT_SQL = f"""'{J.INSTRUCTIONS}' || chr(10) || 'Target format: ' || expect_format || chr(10) || chr(10) || {_FORMAT_CASE} END
-  || chr(10) || 'INSTRUCTION:' || chr(10) || prompt || chr(10) || chr(10) || 'ANSWER:' || chr(10) || expect_payload || chr(10)"""
+  || chr(10) || '--- request ---' || chr(10) || prompt || chr(10) || chr(10) || '--- returned data ---' || chr(10) || expect_payload || chr(10)"""
 
 
 @query(

@@ -34,24 +34,17 @@ def judged_prompt(df: DataFrame) -> Column:
     return F.when(F.col("grammar.ok"), prompt)
 
 
-def evaluate_records(
-    df: DataFrame,
-    make_scorer: Callable[[], Scorer],
-    model: str,
-    yaml_style: bool = True,
-    max_retries: int = MAX_RETRIES,
-    partitions: int | None = None,
-) -> DataFrame:
-    """Add the ``evaluation`` struct to rows with ``prompt, output, output_format``.
+def prompted(df: DataFrame, yaml_style: bool = True) -> DataFrame:
+    """Rows with ``prompt, output, output_format`` as far as the judge's ``_prompt``."""
+    df = check_grammar(df, yaml_style)
+    return df.withColumn("_prompt", judged_prompt(df))
 
-    ``partitions`` spreads the costly judging evenly over that many tasks (a
-    round-robin shuffle, so no group of equal rows ends up in one task).
+
+def concluded(df: DataFrame, model: str) -> DataFrame:
+    """Add ``evaluation`` to prompted rows that have the judge's ``_reply``.
+
+    A judged record carries the time of its reply, others the time of the job.
     """
-    df = check_grammar(df, yaml_style)
-    if partitions:
-        df = df.repartition(partitions)
-    df = df.withColumn("_prompt", judged_prompt(df))
-    df = df.withColumn("_reply", judge(F.col("_prompt"), make_scorer, max_retries))
     df = df.withColumns({f"_said_{c}": F.col(f"_reply.{c}") for c in ("ok", "text", "error", "raw")})
     df = parse_judgement(df, "_said_text", "_said_ok", "_said_error", "_judged")
     df = grammar_gate(df, "_judged", "_llm")
@@ -65,7 +58,26 @@ def evaluate_records(
             F.when(sound, judge_meta(F.col("_said_raw"))).alias("meta"),
         ).alias("llm"),
         (sound & F.coalesce(said["usable"], F.lit(False))).alias("usable"),
-        F.date_format(F.current_timestamp(), TIMESTAMP).alias("timestamp"),
+        F.coalesce("_reply.at", F.date_format(F.current_timestamp(), TIMESTAMP)).alias("timestamp"),
     )
     scratch = [c for c in df.columns if c.startswith("_")] + ["final_output", "payload", "grammar"]
     return df.withColumn("evaluation", evaluation).drop(*scratch)
+
+
+def evaluate_records(
+    df: DataFrame,
+    make_scorer: Callable[[], Scorer],
+    model: str,
+    yaml_style: bool = True,
+    max_retries: int = MAX_RETRIES,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Add the ``evaluation`` struct to rows with ``prompt, output, output_format``.
+
+    ``partitions`` spreads the costly judging evenly over that many tasks (a
+    round-robin shuffle, so no group of equal rows ends up in one task).
+    """
+    df = prompted(df, yaml_style)
+    if partitions:
+        df = df.repartition(partitions)
+    return concluded(df.withColumn("_reply", judge(F.col("_prompt"), make_scorer, max_retries)), model)

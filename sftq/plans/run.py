@@ -17,10 +17,12 @@ from sftq.operators.audit import (
 )
 from sftq.operators.judge import MAX_RETRIES, Scorer
 from sftq.operators.records import extract_pair
+from sftq.operators.replies import PER_TASK, answer, with_replies
 from sftq.operators.select import is_kept, limit_global, limit_per_dataset, score_and_format
 from sftq.plans.audit import audit_records
-from sftq.plans.evaluate import evaluate_records
-from sftq.sources.jsonl import parse_records, scan_order, scan_records
+from sftq.plans.evaluate import concluded, prompted
+from sftq.sources.jsonl import first_files, list_shards, parse_records, scan_records
+from sftq.sources.scratch import written
 from sftq.sources.sinks import (
     evaluation_text,
     read_scored,
@@ -43,28 +45,39 @@ def score_files(
     max_records: int = 0,
     max_retries: int = MAX_RETRIES,
     partitions: int | None = None,
+    ledger: str | None = None,
+    per_task: int = PER_TASK,
+    retry_failed: bool = False,
 ) -> dict[str, int]:
     """Judge every record below ``root`` and write it with its ``evaluation`` to ``out``.
 
-    One pass that ends in the write, so no record is judged twice; returns the count of
-    processed records. ``partitions`` deals the raw lines to that many tasks by their order:
-    a shard is in few tasks, and its lines keep their order.
+    Replies are kept in ``ledger`` (a folder in ``out`` unless given) as tasks of ``per_task`` prompts
+    end (or of as many as ``partitions`` tasks make), so a job that is run again asks only what is
+    open; equal prompts are asked once.
+    Returns the counts of processed records and of prompts asked. Each shard becomes a file at
+    its own path, also one without records; with ``max_records`` only the files that
+    hold the first so many are read and written.
     """
-    lines = scan_records(spark, root, parse=False)
-    lines = limit_global(
-        lines, max_records, line=("block_start", "line_no"), chunk=F.col("block_start")
-    )
-    if partitions:
-        lines = lines.repartitionByRange(partitions, *scan_order())
-    seen = Observation()
+    ledger = ledger or f"{out.rstrip('/')}/_replies"
+    files = first_files(spark, root, max_records) if max_records > 0 else None
+    lines = scan_records(spark, root, parse=False, files=files)
+    lines = limit_global(lines, max_records, line=LINE_ORDER, chunk=F.col("block_start"))
     pairs = extract_pair(parse_records(lines)).select(
         "rel_path", *LINE_ORDER, "raw", "prompt", "output", "output_format"
     )
+    seen = Observation()
     pairs = pairs.observe(seen, F.count(F.lit(1)).alias("processed"))
-    scored = evaluate_records(pairs, make_scorer, model, yaml_style, max_retries)
+    # Written once: the prompts are needed before the replies, the rest beside them.
+    checked = written(prompted(pairs, yaml_style))
+    asked = checked.select(F.col("_prompt").alias("prompt"))
+    asked = answer(asked, ledger, make_scorer, model, max_retries, per_task, retry_failed=retry_failed, partitions=partitions)
+    rows = with_replies(checked, ledger, model, F.concat_ws(":", "rel_path", *LINE_ORDER))
     line = with_evaluation(F.col("raw"), value=evaluation_text(F.col("evaluation")))
-    write_scored(scored.select("rel_path", *LINE_ORDER, line.alias("line")), out, order=LINE_ORDER)
-    return seen.get
+    scored = concluded(rows, model).select("rel_path", *LINE_ORDER, line.alias("line"))
+    shards = list_shards(spark, root)
+    shards = shards if files is None else shards.where(F.col("path").isin(files))
+    write_scored(scored, out, order=LINE_ORDER, chunk=F.col("block_start"), shards=shards)
+    return {**seen.get, "asked": asked}
 
 
 def filter_files(
@@ -76,7 +89,8 @@ def filter_files(
 ) -> dict[str, int]:
     """Write the kept records of ``scored`` to ``out``; returns processed and kept counts.
 
-    ``scored`` is any tree of scored JSON lines, or what ``score_files`` wrote. The counts are observed while writing, so the shards are read once.
+    ``scored`` is any tree of scored JSON lines, or what ``write_scored_folders`` wrote. The counts
+    are observed while writing, so the shards are read once. Every shard gets a file, kept lines or not.
     """
     seen = Observation()
     rows = score_and_format(parse_records(read_scored(spark, scored)))
@@ -84,7 +98,9 @@ def filter_files(
     rows = rows.select("rel_path", *LINE_ORDER, "raw", kept.alias("kept")).observe(
         seen, F.count(F.lit(1)).alias("processed"), F.count_if("kept").alias("kept")
     )
-    write_scored(rows.where("kept"), out, line="raw", order=LINE_ORDER)
+    shards = list_shards(spark, scored, "*.jsonl")
+    shards = shards.where(~F.col("rel_path").startswith("rel_path="))
+    write_scored(rows.where("kept"), out, "raw", order=LINE_ORDER, chunk=F.col("block_start"), shards=shards)
     return seen.get
 
 

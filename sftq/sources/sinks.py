@@ -6,13 +6,13 @@ import json
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sftq.functions.whitespace import strip
 from sftq.sources.jsonl import scan_records
+from sftq.sources.shards import write_shards
 
 
 @F.arrow_udf(T.StringType())
@@ -57,9 +57,24 @@ def with_evaluation(raw: Column, evaluation: Column | None = None, value: Column
 
 
 def write_scored(
+    df: DataFrame, path: str, line: str = "line", shard: str = "rel_path", order: Sequence[str] = (),
+    chunk: Column | None = None, shards: DataFrame | None = None,
+) -> None:
+    """JSON lines, one file for each shard at the shard's own path below ``path``.
+
+    ``chunk`` numbers runs of a shard's lines in their order; each is written by one task, so
+    a large shard is written by many. Without it a shard is one run. ``shards`` (column
+    ``rel_path``) names the shards that get a file even without lines.
+    """
+    part = F.lit(0) if chunk is None else chunk
+    rows = df.select(F.col(shard).alias("shard"), part.cast("long").alias("chunk"), F.col(line).alias("line"), *[F.col(c).alias(f"_{c}") for c in order])
+    write_shards(rows, path, None if shards is None else shards.select(F.col("rel_path").alias("shard")), [f"_{c}" for c in order])
+
+
+def write_scored_folders(
     df: DataFrame, path: str, line: str = "line", shard: str = "rel_path", order: Sequence[str] = ()
 ) -> None:
-    """JSON lines, one folder per input shard. Rows stay in the tasks that hold them.
+    """JSON lines, one folder per input shard. Rows stay in the tasks that hold them: no shuffle.
 
     Within a task they are sorted by shard and ``order``, so a file keeps its shard's order.
     """
@@ -72,10 +87,10 @@ def write_scored(
 def read_scored(spark: SparkSession, path: str, glob: str = "*.{jsonl,txt}") -> DataFrame:
     """``rel_path``, ``raw`` and the order of the lines of a tree of scored files.
 
-    A plain tree of shards is read as it is. In what ``write_scored`` wrote, the shard is the
-    name of the folder, not the path of the part file.
+    A tree of shards is read as it is. In what ``write_scored_folders`` wrote, the shard is the
+    name of the folder, not the path of the part file. Lines are not numbered.
     """
-    lines = scan_records(spark, path, parse=False, glob=glob)
+    lines = scan_records(spark, path, parse=False, glob=glob, numbered=False)
     folder = F.regexp_extract("rel_path", r"^rel_path=([^/]*)/", 1)
     shard = F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
     return lines.withColumn("rel_path", F.when(folder != "", shard).otherwise(F.col("rel_path")))
@@ -98,11 +113,11 @@ def write_summary(
 
     Adaptive execution writes a small table as one file; sorted rows stay sorted across files.
     """
-    # Kept on disk for the second format; what a lost executor held is computed again.
-    table = (df.select(*columns) if columns else df).persist(StorageLevel.DISK_ONLY)
+    # Computed for the JSON files only; these are read again for the CSV ones.
+    table = df.select(*columns) if columns else df
+    table.write.option("ignoreNullFields", False).json(f"{path}/json")
+    kept = df.sparkSession.read.schema(table.schema).json(f"{path}/json")
     nested = {f.name for f in table.schema if f.dataType.simpleString().startswith(("map", "array", "struct"))}
-    flat = table.select(*[F.to_json(c).alias(c) if c in nested else c for c in table.columns])
+    flat = kept.select(*[F.to_json(c).alias(c) if c in nested else c for c in table.columns])
     csv = {"header": "true", "escape": '"', "nullValue": null_text}
     flat.write.options(**csv).csv(f"{path}/csv")
-    table.write.option("ignoreNullFields", False).json(f"{path}/json")
-    table.unpersist()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sftq.operators.select import limit_global
 from sftq.plans.run import filter_files, score_files
 from sftq.sources.jsonl import parse_records, scan_records
-from sftq.sources.sinks import read_scored, with_evaluation, write_scored, write_summary
+from sftq.sources.sinks import read_scored, with_evaluation, write_scored, write_scored_folders, write_summary
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -96,12 +96,11 @@ def test_scored_files_keep_order_and_shape(spark, tmp_path):
         lines = [{"n": i, "messages": said(i), "output_format": "JSON"} for i in range(100)]
         (tmp_path / "in" / "d" / f"{shard}.jsonl").write_text("".join(json.dumps(x) + "\n" for x in lines))
     counts = score_files(spark, str(tmp_path / "in"), str(tmp_path / "out"), make_judge, "stub", partitions=8)
-    assert counts == {"processed": 300}
-    files = sorted((tmp_path / "out").rglob("part-*"))
-    assert len(files) <= 3 + 7
-    for shard in range(3):
-        own = [f for f in files if f"{shard}.jsonl" in str(f.parent)]
-        records = [json.loads(x) for f in own for x in f.read_text(encoding="utf-8").splitlines()]
+    assert counts == {"processed": 300, "asked": 1}  # equal prompts are one
+    files = sorted(p for p in (tmp_path / "out").rglob("*") if p.is_file() and "_replies" not in p.parts and p.suffix != ".crc")
+    assert [str(f.relative_to(tmp_path / "out")) for f in files] == [f"d/{i}.jsonl" for i in range(3)]
+    for file in files:
+        records = [json.loads(x) for x in file.read_text(encoding="utf-8").splitlines()]
         assert [r["n"] for r in records] == list(range(100))
         for r in records:
             llm = r["evaluation"]["llm"]
@@ -111,10 +110,9 @@ def test_scored_files_keep_order_and_shape(spark, tmp_path):
                 assert "meta" not in llm and llm["error"]
     kept = filter_files(spark, str(tmp_path / "out"), str(tmp_path / "kept"), {"json": 80})
     assert kept == {"processed": 300, "kept": 225}
-    for shard in range(3):  # the same rows as a plain tree of shards
-        plain = tmp_path / "plain" / "d" / f"{shard}.jsonl"
-        plain.parent.mkdir(parents=True, exist_ok=True)
-        own = [f for f in files if f"{shard}.jsonl" in str(f.parent)]
-        plain.write_text("".join(f.read_text(encoding="utf-8") for f in own))
-    assert filter_files(spark, str(tmp_path / "plain"), str(tmp_path / "kept2"), {"json": 80}) == kept
-    assert {r.rel_path for r in read_scored(spark, str(tmp_path / "kept2")).collect()} == {f"d/{i}.jsonl" for i in range(3)}
+    # The same rows from a folder for each shard.
+    write_scored_folders(read_scored(spark, str(tmp_path / "out")), str(tmp_path / "folders"), line="raw", order=("block_start", "line_no"))
+    assert filter_files(spark, str(tmp_path / "folders"), str(tmp_path / "kept2"), {"json": 80}) == kept
+    for shard in range(3):
+        lines = [(tmp_path / name / "d" / f"{shard}.jsonl").read_text() for name in ("kept", "kept2")]
+        assert lines[0] == lines[1] and len(lines[0].splitlines()) == 75

@@ -1,0 +1,104 @@
+"""Scoring that survives a restart: what is asked, counted by the scorer itself."""
+
+import json
+import os
+import sys
+
+import pytest
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
+
+from sftq.operators import replies
+from sftq.plans.run import score_files
+from sftq.sources.sinks import read_scored
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def make(folder, broken="", error=""):
+    """A scorer that leaves a line for each prompt it is asked; fails on one that holds ``broken``."""
+
+    def scorer(prompts):
+        with open(f"{folder}/{os.getpid()}", "a") as log:
+            for p in prompts:
+                if broken and broken in p:
+                    raise RuntimeError("the judge is gone")
+                log.write(json.dumps(p) + "\n")
+        return [{"ok": not (error and error in p), "text": json.dumps({"usable": True, "score": len(p) % 101}), "error": "late" if error and error in p else None, "raw": {"model": "m"}} for p in prompts]
+
+    return lambda: scorer
+
+
+def asked(folder):
+    return [json.loads(line) for name in os.listdir(folder) for line in open(f"{folder}/{name}")]
+
+
+def corpus(folder, n=200):
+    (folder / "in").mkdir(parents=True)
+    for shard in range(4):
+        lines = [{"messages": [{"role": "user", "content": f"q{shard}-{i}-"}, {"role": "assistant", "content": "{}" if i % 5 else "{"}], "output_format": "json"} for i in range(n // 4)]
+        (folder / "in" / f"{shard}.jsonl").write_text("".join(json.dumps(x) + "\n" for x in lines))
+    return str(folder / "in"), str(folder / "out")
+
+
+def test_second_run_asks_only_what_is_open(spark, tmp_path):
+    root, out = corpus(tmp_path)
+    logs = [tmp_path / f"log{i}" for i in range(3)]
+    for log in logs:
+        log.mkdir()
+    with pytest.raises(Exception, match="the judge is gone"):
+        score_files(spark, root, out, make(logs[0], broken="q2-33-"), "m", per_task=10)
+    paid = spark.read.parquet(f"{out}/_replies/replies").count()
+    assert 0 < paid < 160 and paid <= len(asked(logs[0]))
+    assert not os.path.exists(f"{out}/0.jsonl")
+    counts = score_files(spark, root, out, make(logs[1]), "m", per_task=10)
+    assert counts == {"processed": 200, "asked": 160 - paid}
+    again = asked(logs[1])
+    assert len(again) == len(set(again)) == 160 - paid
+    records = {(r.rel_path, r.line_no): json.loads(r.raw)["evaluation"] for r in read_scored(spark, out).collect()}
+    assert len(records) == 200 and sum(e["usable"] for e in records.values()) == 160
+    assert all(e["timestamp"] for e in records.values())
+    assert score_files(spark, root, out, make(logs[2]), "m") == {"processed": 200, "asked": 0}
+    assert asked(logs[2]) == []
+    assert score_files(spark, root, out, make(logs[2]), "other") == {"processed": 200, "asked": 160}
+
+
+def test_scores_equal_those_of_one_pass(spark, tmp_path):
+    from sftq.operators.records import extract_pair
+    from sftq.plans.evaluate import evaluate_records
+    from sftq.sources.jsonl import scan_records
+
+    root, out = corpus(tmp_path, 40)
+    (tmp_path / "log").mkdir()
+    score_files(spark, root, out, make(tmp_path / "log"), "m")
+    whole = evaluate_records(extract_pair(scan_records(spark, root)), make(tmp_path / "log"), "m")
+    want = {(r.rel_path, r.line_no): (r.usable, r.score, r.sha1) for r in whole.select("rel_path", "line_no", "evaluation.usable", "evaluation.llm.score", "evaluation.extraction.sha1").collect()}
+    got = {}
+    for name in os.listdir(out):
+        if name.endswith(".jsonl"):
+            for k, line in enumerate(open(f"{out}/{name}"), 1):
+                e = json.loads(line)["evaluation"]
+                got[name, k] = (e["usable"], e["llm"]["score"], e["extraction"]["sha1"])
+    assert got == want
+
+
+def test_failed_replies_are_kept_or_asked_again(spark, tmp_path):
+    folder = str(tmp_path / "ledger")
+    logs = [tmp_path / "a", tmp_path / "b"]
+    for log in logs:
+        log.mkdir()
+    prompts = spark.createDataFrame([("x",), ("y",), ("y",), (None,), ("",)], "prompt string")
+    assert replies.answer(prompts, folder, make(logs[0], error="y"), "m", max_retries=0) == 3
+    assert sorted(asked(logs[0])) == ["", "x", "y"]
+    assert replies.answer(prompts, folder, make(logs[1]), "m", max_retries=0) == 0
+    assert replies.answer(prompts, folder, make(logs[1]), "m", max_retries=0, retry_failed=True) == 1
+    rows = replies.with_replies(prompts.withColumnRenamed("prompt", "_prompt"), folder, "m", F.lit("p")).collect()
+    assert len(rows) == 5
+    assert sorted((r["_prompt"], r["_reply"].ok) for r in rows if r["_reply"]) == [("", True), ("x", True), ("y", True), ("y", True)]
+    assert replies.recorded(spark, folder).count() == 3
+
+
+def test_empty_input(spark, tmp_path):
+    none = spark.createDataFrame([], "prompt string")
+    assert replies.answer(none, str(tmp_path / "l"), make(tmp_path), "m") == 0
+    assert replies.recorded(spark, str(tmp_path / "l")).count() == 0
