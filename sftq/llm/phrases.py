@@ -33,13 +33,15 @@ from pyspark.sql import functions as F
 from sftq.llm.common import batches_of, binary_list, stored
 
 #: Bytes of text in a block.
-BLOCK_BYTES = 1 << 22
-#: Phrases that a task counts before it makes a filter of them.
+BLOCK_BYTES = 1 << 23
+#: Words whose phrases are counted together.
+STEP_WORDS = 1 << 17
+#: Different phrases that a task holds before it makes a filter of them.
 HELD_PHRASES = 1 << 20
 #: Phrases, counted each time they occur, for which one segment is made.
 SEGMENT_PHRASES = 1 << 22
 
-BLOCKS = "block long, lang string, words array<string>, counts array<int>, tokens binary"
+BLOCKS = "block long, lang string, words array<string>, counts array<int>, size long, tokens binary"
 FILTERS = "segment int, filter binary"
 COUNTS = "w1 int, w2 int, w3 int, n long"
 
@@ -77,7 +79,8 @@ def make_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if words:
                 yield pa.RecordBatch.from_pydict({
                     "block": pa.array([serial]), "lang": pa.array([lang]), "words": pa.array([[w.decode(errors="replace") for w in words]]),
-                    "counts": pa.array([counts.astype(np.int32)], pa.list_(pa.int32())), "tokens": pa.array([tokens.tobytes()]),
+                    "counts": pa.array([counts.astype(np.int32)], pa.list_(pa.int32())), "size": pa.array([len(tokens)]),
+                    "tokens": pa.array([tokens.astype(np.int32 if len(words) >> 16 else np.uint16).tobytes()]),
                 })
                 serial += 1
 
@@ -152,15 +155,26 @@ class Counted(NamedTuple):
     n: np.ndarray
 
 
-def merged(parts: list[Counted]) -> Counted:
-    """Sorted runs merged into one; equal phrases add up."""
+def merged(parts: list[Counted], half: int) -> Counted:
+    """Sorted runs merged into one; equal phrases add up. Short phrases sort as one number."""
     high, low, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.lexsort((low, high))
-    high, low, n = high[order], low[order], n[order]
-    new = np.ones(len(n), bool)
-    new[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
+    one = 2 * half <= 64
+    keys = [(high << np.uint64(half)) | low] if one else [high, low]
+    # Stable: runs that are sorted already are only merged.
+    order = np.argsort(keys[0], kind="stable") if one else np.lexsort((low, high))
+    new = np.zeros(len(n), bool)
+    new[:1] = True
+    for key in keys:
+        new[1:] |= np.diff(key[order]) != 0
     first = np.flatnonzero(new)
-    return Counted(high[first], low[first], np.add.reduceat(n, first) if len(n) else n)
+    at = order[first]
+    return Counted(high[at], low[at], np.add.reduceat(n[order], first) if len(n) else n)
+
+
+def stacked(runs: list[Counted], half: int) -> None:
+    """Merge the last runs like digits of a counter, so that each phrase is merged a few times only."""
+    while len(runs) > 1 and len(runs[-1].n) * 2 >= len(runs[-2].n):
+        runs[-2:] = [merged(runs[-2:], half)]
 
 
 def _narrow(values: np.ndarray) -> bytes:
@@ -235,11 +249,11 @@ def phrases_of(tokens: np.ndarray, most: int) -> np.ndarray:
 
 
 def count_phrases(batches: Iterator[pa.RecordBatch], how: Packing) -> Iterator[pa.RecordBatch]:
-    """Rows ``tokens, numbers`` to filters by segment; ``numbers`` pairs a block's words with the corpus's."""
+    """Rows ``size, tokens, numbers`` to filters by segment; ``numbers`` pairs a block's words with the corpus's."""
     held: list[Counted] = []
 
     def flushed() -> Iterator[pa.RecordBatch]:
-        whole = merged(held)
+        whole = merged(held, how.half)
         held.clear()
         segment = (whole.high >> np.uint64(how.shift)).astype(np.int64)
         cut = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1]])
@@ -249,16 +263,18 @@ def count_phrases(batches: Iterator[pa.RecordBatch], how: Packing) -> Iterator[p
             yield pa.RecordBatch.from_pydict({"segment": pa.array(segment[cut[at : at + 256]], pa.int32()), "filter": pa.array([to_filter(p, how) for p in some], pa.binary())})
 
     for batch in batches:
-        for tokens, numbers in zip(batch.column("tokens"), batch.column("numbers")):
-            local = np.frombuffer(tokens.as_buffer(), np.int32)
+        for size, tokens, numbers in zip(batch.column("size").to_pylist(), batch.column("tokens"), batch.column("numbers")):
+            data = tokens.as_buffer()
+            local = np.frombuffer(data, np.int32 if data.size > 2 * size else np.uint16)
             at, number = (x.to_numpy() for x in numbers.values.flatten())
             known = np.zeros(int(max(local.max(initial=0), at.max(initial=0))) + 1, np.int32)
             known[at] = number
-            for low in range(0, len(local), HELD_PHRASES // 2):
-                most = min(HELD_PHRASES // 2, len(local) - low)
+            for low in range(0, len(local), STEP_WORDS):
+                most = min(STEP_WORDS, len(local) - low)
                 found = phrases_of(known[local[low : low + most + 2]], most)
                 if len(found):
-                    held.append(merged([Counted(*permute(*pack(found, how), how.half), np.ones(len(found), np.int64))]))
+                    held.append(merged([Counted(*permute(*pack(found, how), how.half), np.ones(len(found), np.int64))], how.half))
+                    stacked(held, how.half)
                 if sum(len(p.n) for p in held) >= HELD_PHRASES:
                     yield from flushed()
     if held:
@@ -270,7 +286,7 @@ def merge_filters(batches: Iterator[pa.RecordBatch], how: Packing, least: int) -
     segment, held = None, []
 
     def counted() -> Iterator[pa.RecordBatch]:
-        whole = merged(held)
+        whole = merged(held, how.half)
         often = whole.n >= least
         high, low = permute(whole.high[often], whole.low[often], how.half, back=True)
         words, n = unpack(high, low, how), whole.n[often]
@@ -284,9 +300,7 @@ def merge_filters(batches: Iterator[pa.RecordBatch], how: Packing, least: int) -
                 held = []
             segment = own
             held.append(from_filter(data.as_buffer(), how))
-            # Runs are merged like the digits of a counter, so each phrase is merged a few times only.
-            while len(held) > 1 and len(held[-1].n) * 2 >= len(held[-2].n):
-                held[-2:] = [merged(held[-2:])]
+            stacked(held, how.half)
     if held:
         yield from counted()
 
@@ -316,12 +330,12 @@ def numbered_words(blocks: DataFrame, least: int) -> DataFrame:
 
 def phrase_counts(blocks: DataFrame, words: DataFrame, least: int, segment_phrases: int = SEGMENT_PHRASES) -> DataFrame:
     """``w1, w2, w3, n`` of phrases that occur ``least`` times, by numbers of words, ``w3`` 0 for phrases of two."""
-    total = blocks.agg(F.sum(F.octet_length("tokens") / 4)).first()[0] or 0
+    total = blocks.agg(F.sum("size")).first()[0] or 0
     segments = max(64, 1 << int(2 * total // segment_phrases).bit_length())
     how = Packing(max(3, words.count().bit_length()), segments)
     own = blocks.select("block", "lang", F.posexplode("words").alias("at", "word")).join(words, ["lang", "word"])
     own = own.groupBy("block").agg(F.collect_list(F.struct((F.col("at") + 1).alias("at"), "number")).alias("numbers"))
-    texts = blocks.select("block", "tokens").join(own, "block").select("tokens", "numbers")
+    texts = blocks.select("block", "size", "tokens").join(own, "block").select("size", "tokens", "numbers")
     filters = texts.mapInArrow(lambda batches: count_phrases(batches, how), FILTERS)
     # As many partitions as segments at most, so that none holds more than a few.
     runs = filters.repartition("segment").sortWithinPartitions("segment")

@@ -93,12 +93,13 @@ def test_filters_lose_nothing(bits, segments):
         segment = int(rng.integers(0, min(segments, limit)))
         high = (np.uint64(segment) << np.uint64(how.shift)) | rng.integers(0, 1 << how.shift, size).astype(np.uint64)
         n = np.where(rng.random(size) < 0.3, rng.integers(1, 10**12, size), rng.integers(1, 300, size))
-        part = phrases.merged([Counted(high, rng.integers(0, limit, size).astype(np.uint64), n.astype(np.int64))])
+        part = phrases.merged([Counted(high, rng.integers(0, limit, size).astype(np.uint64), n.astype(np.int64))], how.half)
         back = phrases.from_filter(phrases.to_filter(part, how), how)
         assert all((a == b).all() for a, b in zip(part, back))
 
 
-def test_merged_runs_add_up():
+@pytest.mark.parametrize("half", [3, 40])
+def test_merged_runs_add_up(half):
     rng = np.random.default_rng(8)
     want, parts = Counter(), []
     for _ in range(7):
@@ -106,8 +107,8 @@ def test_merged_runs_add_up():
         n = rng.integers(1, 9, 40)
         for key in zip(high.tolist(), low.tolist(), n.tolist()):
             want[key[:2]] += key[2]
-        parts.append(phrases.merged([Counted(high, low, n)]))
-    out = phrases.merged(parts)
+        parts.append(phrases.merged([Counted(high, low, n)], half))
+    out = phrases.merged(parts, half)
     assert dict(zip(zip(out.high.tolist(), out.low.tolist()), out.n.tolist())) == dict(want)
 
 
