@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -109,13 +110,43 @@ def count_text(text: Column, found: str) -> Column:
     return ((F.octet_length(text) - F.octet_length(rest)) / len(found)).cast("int")
 
 
+#: What holds all that is counted, so a text is read once: a run of backslashes with what follows it, a run
+#: of quotes, an ampersand with its entity. Runs stay whole: pairs within them are counted as in the text.
+_AFTER_BACKSLASHES = r"u[0-9A-Fa-f]{4}|U[0-9A-Fa-f]{8}|x[0-9A-Fa-f]{2}"
+ESCAPE_TOKENS = {
+    "XML": r"&(?:amp;|lt;|gt;|quot;|apos;|#\p{Nd}++;|#x[0-9A-Fa-f]++;)?+|<!\[CDATA\[",
+    "JSON": rf"\\++(?:{_AFTER_BACKSLASHES}|[^\\])?+",
+    "TOML": rf"\\++(?:{_AFTER_BACKSLASHES}|[^\\])?+",
+    "YAML": rf"\\++(?:{_AFTER_BACKSLASHES}|'++|[^\\'])?+|'{{2,}}+",
+    "CSV": '"{2,}+',
+}
+#: These are not made of such tokens, and are counted in the text itself.
+COUNTED_IN_TEXT = ("json_raw_control_char", "csv_quoted_newline")
+
+
+def with_counts(text: Column, fmt: str, result: Callable[[dict[str, Column]], Column]) -> Column:
+    """``result`` of the counts by escape type of one format, each computed once.
+
+    What a lambda gets is an element of an array, which is computed once; an expression is
+    computed wherever it is read.
+    """
+    tokens = F.array_join(F.regexp_extract_all(text, F.lit(ESCAPE_TOKENS[fmt]), F.lit(0)), "\n")
+
+    def counted(own: Column) -> Column:
+        # The tokens of most texts are few, so counting them costs little beside finding them.
+        counts = {name: count_text(own["tokens"], found) for name, found in ESCAPE_TEXTS[fmt].items()}
+        for name, pattern in ESCAPE_PATTERNS[fmt].items():
+            counts[name] = F.regexp_count(own["text" if name in COUNTED_IN_TEXT else "tokens"], F.lit(pattern))
+        return result(counts)
+
+    return F.get(F.transform(F.array(F.struct(text.alias("text"), tokens.alias("tokens"))), counted), F.lit(0))
+
+
 def escape_counts(text: Column, fmt: str) -> dict[str, Column]:
     """Occurrences per checked escape type of one format (without TOML inline tables)."""
-    texts = {name: count_text(text, found) for name, found in ESCAPE_TEXTS[fmt].items()}
-    patterns = {
-        name: F.regexp_count(text, F.lit(pattern)) for name, pattern in ESCAPE_PATTERNS[fmt].items()
-    }
-    return texts | patterns
+    names = [*ESCAPE_TEXTS[fmt], *ESCAPE_PATTERNS[fmt]]
+    every = with_counts(text, fmt, lambda counts: F.array(*[counts[name] for name in names]))
+    return {name: F.get(every, F.lit(i)) for i, name in enumerate(names)}
 
 
 def _inline_table_counts(payload: str) -> tuple[int, int, int]:
@@ -146,9 +177,73 @@ def _toml_inline_tables(payload: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays(columns, ["total", "after_eq", "in_array"])
 
 
+#: Strings; equals signs, and what leads to an opening brace, with that brace; braces.
+_INLINE_TOKENS = (
+    r"""(?s)"(?:[^"\\]++|\\.)*+(?:"|\\?\z)|'[^']*+(?:'|\z)"""
+    rf"|=(?:{SPACE}*+\{{)?+|[\[,]{SPACE}*+\{{|\{{|\}}"
+)
+#: Open braces that the state holds; texts that nest deeper go to Python.
+MOST_OPEN = 64
+#: An open brace in the state: whether an equals sign came since, and what led to it.
+_SEEN_EQ, _AFTER_EQ, _IN_ARRAY = 1, 2, 4
+
+
+def inline_fold(payload: Column) -> Column:
+    """``STRUCT<counts, deep>``: inline tables by a fold over tokens with a stack of open braces.
+
+    ``counts`` is null for texts without braces or equals signs, and for ``deep`` ones, which
+    nest more than ``MOST_OPEN`` braces.
+    """
+
+    def top(stack: Column) -> Column:
+        return F.get(stack, F.size(stack) - 1)
+
+    def below(stack: Column) -> Column:
+        return F.slice(stack, 1, F.greatest(F.size(stack) - 1, F.lit(0)))
+
+    def marked(stack: Column) -> Column:
+        fresh = top(stack).bitwiseAND(_SEEN_EQ) == 0  # null for an empty stack
+        return F.when(fresh, F.concat(below(stack), F.array(top(stack).bitwiseOR(_SEEN_EQ)))).otherwise(stack)
+
+    def state(stack: Column, seen: Column, counted: Column | None = None, frame: Column | None = None) -> Column:
+        add = lambda name, bit: seen[name] if counted is None else seen[name] + (counted & (frame.bitwiseAND(bit) != 0)).cast("int")
+        total = seen["total"] if counted is None else seen["total"] + counted.cast("int")
+        return F.struct(
+            stack.alias("stack"), total.alias("total"), add("after_eq", _AFTER_EQ).alias("after_eq"), add("in_array", _IN_ARRAY).alias("in_array"),
+            (seen["deep"] | (F.size(stack) > MOST_OPEN)).alias("deep"),
+        )
+
+    def step(seen: Column, token: Column) -> Column:
+        stack, first = seen["stack"], F.left(token, F.lit(1))
+        quoted = first.isin('"', "'")
+        equals = (first == "=") | (quoted & token.contains("="))
+        noted = F.when(equals, marked(stack)).otherwise(stack)
+        lead = F.when(first == "=", _AFTER_EQ).when(first.isin("[", ","), _IN_ARRAY).otherwise(0)
+        counted = F.coalesce(top(stack).bitwiseAND(_SEEN_EQ) != 0, F.lit(False))
+        # A sign within an inner table is one within the outer table too.
+        closed = F.when(counted, marked(below(stack))).otherwise(below(stack))
+        return (
+            F.when(seen["deep"], seen)
+            .when(token == "}", state(closed, seen, counted, F.coalesce(top(stack), F.lit(0))))
+            .when(~quoted & token.endswith("{"), state(F.concat(noted, F.array(lead)), seen))
+            .otherwise(state(noted, seen))
+        )
+
+    zero = F.struct(F.array().cast("array<int>").alias("stack"), *[F.lit(0).alias(f.name) for f in INLINE_COUNTS], F.lit(False).alias("deep"))
+    counts = lambda seen: F.struct(*[seen[f.name].alias(f.name) for f in INLINE_COUNTS])
+    finish = lambda seen: F.struct(F.when(~seen["deep"], counts(seen)).alias("counts"), seen["deep"].alias("deep"))
+    tokens = F.regexp_extract_all(payload, F.lit(_INLINE_TOKENS), F.lit(0))
+    return F.when(payload.contains("{") & payload.contains("="), F.aggregate(tokens, zero, step, finish))
+
+
+def inline_tables_of(payload: Column, fold: Column) -> Column:
+    """The counts of a fold; the few texts that were too deep for it are scanned in Python."""
+    return F.coalesce(fold["counts"], _toml_inline_tables(F.when(fold["deep"], payload)))
+
+
 def toml_inline_tables(payload: Column) -> Column:
     """Inline tables outside strings: all, after ``=``, as array items. Null if there are none."""
-    return _toml_inline_tables(F.when(payload.contains("{") & payload.contains("="), payload))
+    return inline_tables_of(payload, inline_fold(payload))
 
 
 def _any_json(texts: list[str] | None) -> bool:
@@ -235,10 +330,8 @@ def escape_entries(fmt: Column, payload: Column, inline: Column) -> Column:
 
     chosen = F
     for name in ESCAPE_TEXTS:
-        counts = escape_counts(payload, name)
-        if name == "TOML":
-            counts |= {t: inline[field] for t, field in INLINE_TABLE_TYPES.items()}
-        chosen = chosen.when(fmt == name, entries(counts))
+        more = {t: inline[field] for t, field in INLINE_TABLE_TYPES.items()} if name == "TOML" else {}
+        chosen = chosen.when(fmt == name, with_counts(payload, name, lambda counts, more=more: entries(counts | more)))
     return chosen
 
 

@@ -1,6 +1,6 @@
 """Syntax and style verdicts on extracted payloads.
 
-Plain JSON and plain CSV are accepted by built-in expressions. What those do not
+Plain JSON and CSV, quoted fields included, are accepted by built-in expressions. What those do not
 accept, and every YAML, TOML and XML payload, goes through one Arrow UDF that asks
 the Python parsers for verdict and reason; all other rows hand it a null.
 """
@@ -39,16 +39,29 @@ def json_is_plain(payload: Column, digest: Column) -> Column:
     return F.coalesce(F.try_variant_get(pair, "$[1]", "string") == digest, F.lit(False))
 
 
+#: Stands for a quoted piece of a field; texts that hold it themselves go to Python.
+QUOTED = "\x01"
+
+
 def csv_is_plain(payload: Column) -> Column:
-    """True only for quote-free rows that all have the header's width."""
-    commas = F.regexp_replace(payload, r"[^,\n]++", "")
+    """True only for rows that all have the header's width, their fields bare or quoted as wholes.
+
+    Quoted pieces, with the commas and line breaks in them, become one sign each; a doubled quote
+    parts two pieces. What is left has a row on each line. Quotes that open or close within a
+    field are not accepted here.
+    """
+    bare = F.when(payload.contains('"'), F.regexp_replace(payload, '"[^"]*+"', QUOTED)).otherwise(payload)
+    commas = F.regexp_replace(bare, r"[^,\n]++", "")
+    mixed = bare.rlike(rf"[^,\n{QUOTED}]{QUOTED}|{QUOTED}[^,\n{QUOTED}]")
     return (
         (payload != "")
         & (F.length(payload) <= CSV_FIELD_LIMIT)
-        & ~payload.contains('"')
+        & ~payload.contains(QUOTED)
         & ~payload.contains("\r")
-        & ~payload.contains("\n\n")
-        & ~payload.startswith("\n")
+        & ~bare.contains('"')
+        & ~bare.contains("\n\n")
+        & ~bare.startswith("\n")
+        & ~(payload.contains('"') & mixed)
         & (F.size(F.array_distinct(F.split(commas, "\n", -1))) == 1)
     )
 

@@ -6,12 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sftq.functions.formats import norm_format
+from sftq.functions.staging import once
 from sftq.functions.text import extract_payload
 from sftq.functions.whitespace import unix_lines
 from sftq.operators.audit import (
     any_json,
     escape_entries,
-    toml_inline_tables,
+    inline_fold,
+    inline_tables_of,
     toml_json_candidates,
     toml_structure,
 )
@@ -40,6 +42,7 @@ def measure_records(df: DataFrame, yaml_style: bool = True) -> DataFrame:
         {
             "_strings": F.when(structured, toml_json_candidates(payload)),
             "_lines": F.when(structured, unix_lines(payload)),
+            "_fold": once(inline_fold(F.when(toml, payload))),
         }
     )
     df = parse_verdict(
@@ -48,7 +51,7 @@ def measure_records(df: DataFrame, yaml_style: bool = True) -> DataFrame:
         "format",
         "_verdict",
         same_hop={
-            "inline": toml_inline_tables(F.when(toml, payload)),
+            "inline": inline_tables_of(payload, F.col("_fold")),
             "json_stringified_like": any_json(F.col("_strings")),
         },
     )
@@ -68,7 +71,7 @@ def measure_records(df: DataFrame, yaml_style: bool = True) -> DataFrame:
                 "escapes": escape_entries(fmt, payload, F.col("inline")),
             }
         )
-        .drop("_strings", "_lines", "_verdict", "_bad_indent")
+        .drop("_strings", "_lines", "_fold", "_verdict", "_bad_indent")
     )
 
 

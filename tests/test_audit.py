@@ -86,6 +86,40 @@ def test_inline_tables_of_composed_texts(spark):
         assert [row.n[c] or 0 for c in ("total", "after_eq", "in_array")] == row.want, repr(row.t)
 
 
+def scanned(text):
+    """Inline tables by a plain scan of characters: all, after an equals sign, as items of an array."""
+    counts, stack, i = [0, 0, 0], [], 0
+    while i < len(text):
+        c = text[i]
+        if c in "\"'":
+            end = i + 1
+            while end < len(text) and text[end] != c:
+                end += 2 if c == '"' and text[end] == "\\" else 1
+            i = end
+        elif c == "{":
+            stack.append(i)
+        elif c == "}" and stack:
+            start = stack.pop()
+            if "=" in text[start:i]:
+                lead = text[:start].rstrip()[-1:]
+                for k, found in enumerate([True, lead == "=", lead != "" and lead in "[,"]):
+                    counts[k] += found
+        i += 1
+    return counts
+
+
+def test_inline_tables_of_random_texts(spark):
+    rng = random.Random(8)
+    atoms = ["{", "}", "=", " = ", "[", ",", ", ", '"', "'", "\\", "\n", "a", "\u2003", "{ a = 1 }", '"x = {"', "'}'", "[ {", "= {"]
+    texts = ["".join(rng.choices(atoms, k=rng.randrange(1, 40))) for _ in range(6000)]
+    texts += ["{" * 80 + "=" + "}" * 80, "x = " + "{ y = " * 70 + "1" + "}" * 70, "=" * 50_000 + "{=}", '"' + "\\n=" * 30_000 + '{" = {a=1}']
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select("t", A.toml_inline_tables(F.col("t")).alias("n"), A.inline_fold(F.col("t"))["deep"].alias("deep")).collect()
+    for row in rows:
+        assert [(row.n and row.n[c]) or 0 for c in ("total", "after_eq", "in_array")] == scanned(row.t), repr(row.t[:200])
+    assert sum(bool(r.deep) for r in rows) == 2
+
+
 def test_headers_are_read_in_linear_time(spark):
     import time
 

@@ -124,6 +124,27 @@ def test_csv_paths_match_python(spark):
     assert sum(r.plain for r in plain) > 500
 
 
+def test_quoted_tables_stay_in_the_jvm(spark):
+    rng = random.Random(7)
+    cell = lambda: "".join(rng.choice(["a", "b", " ", ",", "\n", '""', "é", "'"]) for _ in range(rng.randrange(6)))
+    field = lambda: rng.choice(["x", "", "1 2", '"' + cell() + '"'])
+    texts = []
+    for _ in range(1500):
+        width = rng.randrange(2, 5)
+        rows = [",".join(field() for _ in range(width if rng.random() < 0.95 else width + 1)) for _ in range(rng.randrange(1, 6))]
+        texts.append("\n".join(rows))
+    texts += ['a,b\n"x"y,2', 'a,b\n1,"x', 'a,b\nx"q"z,2', 'a\n""', '"a"\n\n"b"', 'a,b\n" ""q"" ",\x01', '"' + "x,\n" * 30_000 + '",b\n1,2']
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    quoted = 0
+    for row in df.select("t", csv_is_plain(F.col("t")).alias("plain")).collect():
+        fine = accepts(equal_widths, row.t)
+        assert fine or not row.plain, repr(row.t)
+        if fine and "\x01" not in row.t and row.t in texts[:1500] and not row.t.startswith("\n"):
+            quoted += '"' in row.t
+            assert row.plain, repr(row.t)
+    assert quoted > 800
+
+
 YAML_SEEDS = ["a: 1\nb:\n  - x\n  - y\n", "- a: 1\n  b: 2\n# c\n- d\n", 'k: "v"\nm:\n    deep: 1\n']
 YAML_ATOMS = ["\n", "  ", " ", "   ", "\t", "- ", ":", ": ", "# c", "\r\n", "\x85", '"', "x", "- ", "\n\n", "\n    # d\n", "\u2003", "---\n", "[", "}", "*a", "!t"]
 
