@@ -2,10 +2,15 @@
 
 A host is written with its labels reversed and a dot after each, ``org.example.``; then a
 blank and the path. In this order all URLs that a rule fits under one host form an
-interval, and the intervals of two rules are nested or apart. Every URL appears once for
-each of its parent domains, so rules on a domain reach its subdomains. A sweep over the
-sorted keys carries the rules that are open at the last rule passed (its stack); those
-of them that still enclose the URL fit, and the innermost is the longest.
+interval, and the intervals of two rules are nested or apart. Every distinct host and path
+appears once for each of its parent domains that carries rules, so rules on a domain reach its
+subdomains. Keys are dealt to tasks by ranges, and each range starts with the rules that are
+still open at its first key. A sweep over a range carries the rules that are open at the last
+rule passed (its stack); those of them that still enclose the URL fit, and the innermost is the longest.
+
+* A null URL, or one without ``://``, has an empty host and path and no rule. Repeated rows stay.
+* Long URLs are judged whole. Of equally long rules that of the longer host wins, of equal rules a block.
+* Empty tables of pages or rules give no rows, or the default verdict.
 """
 
 from __future__ import annotations
@@ -13,10 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sftq.llm.common import lower_ascii, whole_rows
-
-#: Tasks that a host's URLs are dealt to; its rules go to each of them.
-SALTS = 32
+from sftq.llm.common import lower_ascii, stored, whole_rows
 
 #: Rules of the query: verdict, host, path.
 RULES = (
@@ -67,35 +69,49 @@ def rule_stacks(rules: DataFrame) -> DataFrame:
     return met.groupBy("domain", F.col("inner").alias("path")).agg(F.sort_array(F.collect_list("entry")).alias("stack"))
 
 
-def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", salts: int = SALTS) -> DataFrame:
+def swept(probes: DataFrame, stacks: DataFrame) -> DataFrame:
+    """``host, path, domain, open``: for each probe the stack of the last rule at or before it, null without one.
+
+    Rules and probes are dealt together by ranges of their keys. Many hosts of one domain may have
+    one path, so the host is part of the order. What is open where a range begins is the
+    last stack of the ranges before it: one row a range.
+    """
+    stack = F.struct("domain", "stack").alias("open")
+    none = F.lit(None)
+    rules = stacks.select(none.cast("string").alias("host"), "domain", "path", stack)
+    rows = rules.unionByName(probes.withColumn("open", none.cast(rules.schema["open"].dataType)))
+    rows = rows.withColumns({"key": F.concat("domain", F.lit(" "), "path"), "kind": F.isnotnull("host")})
+    # Of equal keys the rule comes first: it fits the URL. Written, so that ranges keep their numbers.
+    order = ["key", "kind", "host"]
+    rows = stored(rows.repartitionByRange(*order).withColumn("range", F.spark_partition_id()))
+    ends = rows.groupBy("range").agg(F.max_by("open", F.when(~F.col("kind"), F.col("key"))).alias("last"))
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ends = stored(ends.select("range", F.last("last", ignorenulls=True).over(earlier).alias("before")))
+    upto = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    passed = F.coalesce(F.last("open", ignorenulls=True).over(upto), F.col("before"))
+    return rows.join(ends, "range").withColumn("open", passed).where("kind").select("host", "path", "domain", "open")
+
+
+def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFrame:
     """All rows and columns of ``pages`` plus ``host, path, rule, verdict`` from ``url``.
 
-    The longest rule that fits wins; of equally long ones that of the longer host. Without
-    one, ``rule`` is null and ``verdict`` is ``default``. Columns with these names are
-    replaced; repeated rows stay.
+    The longest rule that fits wins. Without one, ``rule`` is null and ``verdict`` is ``default``.
+    Columns with these names are replaced.
     """
     rows = whole_rows(pages).select(
         "row", host_of(F.col("row.url")).alias("host"), path_of(F.col("row.url")).alias("path")
     )
-    rows = rows.withColumn("id", F.monotonically_increasing_id())
+    stacks = stored(rule_stacks(rules))
     labels = reversed_labels(F.col("host"))
     parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda n: keyed(F.slice(labels, F.lit(1), n)))
-    salt = F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")
-    probes = rows.where("host <> ''").select("id", F.explode(parents).alias("domain"), "path", salt.alias("salt"))
-    none = F.lit(None)
-    stacks = rule_stacks(rules)
-    opened = stacks.select(
-        none.cast("long").alias("id"), "domain", "path", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), "stack"
-    )
-    swept = opened.unionByName(probes.withColumn("stack", none.cast(stacks.schema["stack"].dataType)))
-    key = F.concat("domain", F.lit(" "), "path")
-    # Of equal keys the rule comes first: it fits the URL.
-    order = Window.partitionBy("domain", "salt").orderBy(key, F.isnotnull("id"))
-    swept = swept.withColumn("open", F.last("stack", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    inside = F.filter("open", lambda e: F.col("path").startswith(e["path"]))
-    hits = swept.where("id is not null and open is not null").select("id", F.element_at(F.when(F.size(inside) > 0, inside), -1).alias("hit"), F.length("domain").alias("depth")).where("hit is not null")
-    longest = hits.groupBy("id").agg(F.max(F.struct(F.length("hit.rule").alias("size"), "depth", "hit.rule", "hit.verdict")).alias("best"))
-    met = rows.join(longest, "id", "left")
+    probes = rows.where("host <> ''").select("host", "path").distinct().select("host", "path", F.explode(parents).alias("domain"))
+    probes = probes.join(stacks.select("domain").distinct(), "domain", "left_semi")
+    # The last rule may be another domain's, or have ended before the URL.
+    inside = F.filter("open.stack", lambda e: F.col("path").startswith(e["path"]))
+    hit = F.when((F.col("open.domain") == F.col("domain")) & (F.size(inside) > 0), F.element_at(inside, -1)).alias("hit")
+    hits = swept(probes, stacks).select("host", "path", hit, F.length("domain").alias("depth")).where("hit is not null")
+    longest = hits.groupBy("host", "path").agg(F.max(F.struct(F.length("hit.rule").alias("size"), "depth", "hit.rule", "hit.verdict")).alias("best"))
+    met = rows.join(stored(longest), ["host", "path"], "left")
     kept = [F.col("row")[c].alias(c) for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
     verdict = F.coalesce("best.verdict", F.lit(default))
     return met.select(*kept, "host", "path", F.col("best.rule").alias("rule"), verdict.alias("verdict"))

@@ -40,7 +40,7 @@ URLS = [
 
 def test_url_rules_equal_sql(spark):
     pages = frames(spark, URLS, "page_id long, url string, host string")
-    out = urls.judge_urls(pages, urls.rules_table(spark), salts=3)
+    out = urls.judge_urls(pages, urls.rules_table(spark))
     assert out.columns == ["page_id", "url", "host", "path", "rule", "verdict"]
     got = Counter(tuple(r) for r in out.drop("url").select("page_id", "host", "path", "rule", "verdict").collect())
     con = duckdb.connect()
@@ -60,6 +60,30 @@ def test_nested_rules_and_ties(spark):
     assert urls.judge_urls(pages, urls.rules_table(spark).limit(0)).where("verdict = 'allow' and rule is null").count() == len(cases)
 
 
+def test_rules_reach_over_many_ranges(spark):
+    rng = random.Random(12)
+    part = lambda: rng.choice(["a", "b", "ab", "é", "x", ""])
+    path = lambda n: "/" + "/".join(part() for _ in range(rng.randrange(n)))
+    host = lambda: ".".join(rng.choice(["a", "b", "q", "com"]) for _ in range(rng.randrange(1, 4)))
+    rules = list({(h, p): (rng.choice(["allow", "block"]), h, p) for h, p in [("com", "/")] + [(host(), path(5)) for _ in range(150)]}.values())
+    # One domain holds most URLs, and one of its URLs stands very often.
+    pages = [f"s://{rng.choice(['hot.com', host()])}{path(7)}" for _ in range(3000)] + ["s://hot.com/x"] * 1500
+
+    def best(url):
+        own, _, rest = url.partition("://")[2].partition("/")
+        fit = [(len(h + p), len(h), h + p, v) for v, h, p in rules if (own == h or own.endswith("." + h)) and ("/" + rest).startswith(p)]
+        return (max(fit)[2:] if fit else (None, "none"))
+
+    df = frames(spark, list(enumerate(pages)), "page_id int, url string").repartition(9)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = urls.judge_urls(df, frames(spark, rules, "verdict string, host string, path string"), "none").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert {r["page_id"]: (r["rule"], r["verdict"]) for r in got} == {i: best(u) for i, u in enumerate(pages)}
+    assert len(got) == len(pages)
+
+
 PASSAGE = "\n".join(f"line {i} of a passage" for i in range(20))
 LINED = [
     (1, "first own line\n" + PASSAGE + "\nlast own line", "a"),
