@@ -6,6 +6,11 @@ error, from the exact lengths of what quantisation cut off. Pairs whose upper bo
 reaches the k-th best lower bound of their query are recomputed in double precision and
 kept in one heap a query. The heaps of all cells are merged at the end. The result is
 exact: no true neighbour can be lost.
+
+* Null, zero and non-finite vectors, and rows without id, take no part; ties go to the smaller id;
+  repeated rows count once. An empty table, or one without sound vectors, gives an empty result.
+* Vectors of any length are compared whole, with those of their length. Other columns are not read.
+* Squares of components must stay within doubles: lengths near 1e150 and beyond lose their bounds.
 """
 
 from __future__ import annotations

@@ -4,6 +4,12 @@ The rate of a document of ``size`` words is ``2 / (1 + exp(-tilt * size / mean))
 all rates from 0 to 2 that meet a source's token constraint it is the one of greatest
 entropy, and ``tilt``, one number a source, solves its convex dual. Newton steps find it,
 each an aggregation of a histogram of sizes. Rates then become whole copies.
+
+* A null or empty text has size 0 and is taken 0 times; a null ``source`` is the last source. Texts are
+  counted whole.
+* Equal rows are told apart by a number among their equals; ties of rounding go by hash. Reruns agree.
+* An empty table gives an empty result; a source without words has target 0.
+* ``mix`` returns all columns as they are, whatever their names; ``mixed`` reads three.
 """
 
 from __future__ import annotations

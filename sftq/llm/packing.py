@@ -6,6 +6,11 @@ whatever the input. Each bin takes the longest piece left and, by a bitset subse
 over the lengths available, the fullest combination that fits beside it. The same
 combination is taken as often as the counts allow. Pieces then find their bin by their
 number among the pieces of their length.
+
+* A null or empty text is its end token alone. Long documents are cut into pieces, never shortened.
+* Pieces of one length are alike for the plan; which of them goes where follows a hash of document and
+  piece. Repeated rows are documents of their own. An empty table gives an empty result.
+* Columns other than ``doc_id`` and ``text`` are not read.
 """
 
 from __future__ import annotations

@@ -3,6 +3,11 @@
 Each text is measured once. The share of documents that fail any rule is taken per host,
 drawn towards the overall share by a beta prior fitted to all hosts, and a host whose
 share stays above a limit is rejected with all its documents. ``source`` is the host.
+
+* A null or empty text has no words and fails a base rule; a null ``source`` is a host like any other.
+* Texts are measured whole, in time proportional to their length. Repeated rows count each.
+* A host at the limit exactly is kept. An empty table gives an empty result.
+* ``keep_good`` returns all columns as they are, whatever their names; ``judged`` reads three.
 """
 
 from __future__ import annotations
@@ -72,6 +77,7 @@ def measures(text: Column) -> Column:
 
 
 def base_failed(m: Column) -> Column:
+    """Too few words, or too many in repeated windows; holds for a text without words."""
     return (m["n_words"] < 20) | (100 * m["n_repeat_words"] > 30 * m["n_words"])
 
 

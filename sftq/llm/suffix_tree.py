@@ -10,6 +10,11 @@ All training texts are counted. A context must be seen ``LEAST`` times, whatever
 of the corpus, and keeps all its entries. So the tree grows with the corpus, and it passes
 through the driver to all tasks: nothing but ``DEPTH`` and the variety of the text bounds its
 size there. The word counts behind the base score are joined instead.
+
+* A null or empty text is one token, its end. Texts are counted and scored whole.
+* Of contexts the longest counts, so there are no ties; repeated rows count as often as they stand.
+* An empty table gives an empty result; without training texts every symbol is equally likely.
+* Columns other than ``doc_id`` and ``text`` are not read.
 """
 
 from __future__ import annotations

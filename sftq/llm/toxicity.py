@@ -4,7 +4,12 @@ The features are densities of toxic words and word beginnings, how close they st
 word that addresses the reader, the shares of capitals and exclamation marks, and how many words
 are obfuscated. The lexicon is learned from labelled texts: words and beginnings of words
 that are clearly more frequent in toxic ones, in whatever language. Lexicon, trees and
-calibration each learn from documents of their own, at most ``SAMPLE`` each.
+calibration each learn from documents of their own: of about ``3 * SAMPLE`` labelled ones at most,
+a half, a quarter and a quarter.
+
+* A null text is scored like an empty one; a null identifier is held out. Texts are read whole.
+* Of several labels of one identifier the highest counts; terms of equal certainty rank by themselves.
+* An empty table gives an empty result; repeated rows get equal scores. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -23,7 +28,7 @@ from pyspark.sql import functions as F
 from sftq.llm.common import fold, stored
 
 FOLDS = 5
-#: Labelled documents that each of the three models learns from, at most.
+#: A third of the labelled documents that the three models together learn from, at most.
 SAMPLE = 20_000
 #: Terms of the lexicon, at most; the strongest stay.
 TERMS = 4_000
