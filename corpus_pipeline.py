@@ -1,4 +1,10 @@
-"""A corpus pipeline: stages over ``documents``, each reading what the one before it wrote."""
+"""A corpus pipeline: stages over ``documents``, each reading what the one before it wrote.
+
+All stages take null texts as empty and texts of any length whole, give no rows for no rows, and
+keep all columns as they are, whatever their names; only packing returns columns of its own.
+Repeated rows are judged each by the quality rules, are one document to line dedup and one row to
+near-dedup, and are mixed and packed each. Ties go to the smaller identifier, nulls last.
+"""
 
 from __future__ import annotations
 
