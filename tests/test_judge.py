@@ -129,7 +129,7 @@ def test_checklists(spark):
 
 def make_scorer():
     def scorer(prompts):
-        if any("ANSWER:" not in p for p in prompts):
+        if any("--- returned data ---" not in p for p in prompts):
             raise AssertionError("asked without an answer")
         return [
             {"ok": "fail" not in p, "error": "error: down" if "fail" in p else None,
