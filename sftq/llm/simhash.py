@@ -5,6 +5,10 @@ fingerprints within ``radius`` bits differ by no more than ``radius`` in the sum
 differences, so all other tile pairs are skipped; the rest are compared bit by bit.
 The comparison is exact. Its work grows with the square of the number of distinct
 fingerprints, thinned to about an eighth by the skipping.
+
+* A null or wordless text has fingerprint zero and is linked like any other. Texts are taken whole.
+* Of rows with one identifier the least text stays, so ties are settled; repeated rows are one.
+* An empty table gives an empty result. Other columns come back as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,6 +31,8 @@ SEED = 42
 TILE = 4096
 #: Rows of one tile compared with a whole other tile at a time.
 STRIP = 256
+#: Tile pairs that one task compares, about.
+PAIRS = 64
 
 
 def fingerprint(text: bytes | None, shingle: int) -> int:
@@ -115,20 +121,25 @@ def links(prints: DataFrame, radius: int = 3) -> DataFrame:
     tiles = stored(
         halves.join(cells, ["p", "q"])
         .groupBy("p", "q", F.pmod(F.xxhash64("fp"), "tiles").alias("tile"))
-        .agg(F.collect_list("fp").alias("x"))
+        .agg(F.collect_list("fp").alias("prints"))
     )
     steps = [(i, j) for i in range(radius + 1) for j in range(-radius, radius + 1) if i + abs(j) <= radius and (i, j) >= (0, 0)]
     step = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in steps]))
-    left = tiles.select("p", "q", "tile", "x", step.alias("s")).select(
+    # Pairs are made of tile numbers alone and dealt by both, so those of a full cell are many tasks'.
+    number = F.struct("p", "q", "tile")
+    left = tiles.select(number.alias("left"), "tile", step.alias("s"), "p", "q").select(
+        "left",
+        F.col("tile").alias("other"),
         (F.col("p") + F.col("s.i")).alias("p"),
         (F.col("q") + F.col("s.j")).alias("q"),
-        F.col("tile").alias("other"),
         ((F.col("s.i") == 0) & (F.col("s.j") == 0)).alias("own"),
-        "x",
     )
-    right = tiles.withColumnRenamed("x", "y")
-    pairs = left.join(right, ["p", "q"]).where("not own or other <= tile")
-    pairs = pairs.select("x", "y", F.expr("own and other = tile").alias("same"))
+    pairs = left.join(tiles.select("p", "q", "tile", number.alias("right")), ["p", "q"]).where("not own or other <= tile")
+    pairs = stored(pairs.select("left", "right", F.expr("own and other = tile").alias("same")))
+    tasks = -(-pairs.count() // PAIRS) or 1
+    fetched = lambda side, name: tiles.select(number.alias(side), F.col("prints").alias(name))
+    pairs = pairs.join(fetched("left", "x"), "left").join(fetched("right", "y"), "right")
+    pairs = pairs.repartition(tasks, "left", "right").select("x", "y", "same")
     return pairs.mapInArrow(lambda batches: _compare(batches, radius), "v long, u long")
 
 
@@ -164,10 +175,17 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
 
     Of several rows with this identifier and fingerprint, the least text stays.
     """
-    rows = whole_rows(docs)
-    fp = fingerprint_column(F.col("row.text"), shingle).alias("fp")
-    prints = stored(rows.select(F.col("row.doc_id").alias("doc_id"), fp))
+    text = F.coalesce("text", F.lit(""))
+    keys = [F.xxhash64(text).alias("k1"), F.hash(F.lit(1), text).alias("k2")]
+    prints = stored(docs.select("doc_id", *keys, fingerprint_column(F.col("text"), shingle).alias("fp")))
     heads = groups(prints, radius).where("winner").select("fp", F.col("component_id").alias("head"))
-    met = rows.select("row", fp).join(heads, "fp").where(F.col("row.doc_id").eqNullSafe(F.col("head")))
+    # The fingerprints are not made again: winners are found by identifier and a hash of the text,
+    # so rows of a large group do not meet, and no other row has a partner.
+    won = prints.join(heads, "fp").where(F.col("doc_id").eqNullSafe(F.col("head")))
+    won = stored(won.select(F.col("doc_id").alias("head"), "k1", "k2", "fp").distinct())
+    rows = whole_rows(docs).select("row", F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"))
+    rows = rows.select("row", "doc_id", *keys)
+    same = F.expr("rows.k1 = won.k1 AND rows.k2 = won.k2 AND rows.doc_id <=> won.head")
+    met = rows.alias("rows").join(won.alias("won"), same).select("row", "fp")
     order = Window.partitionBy("fp").orderBy("row.text")
     return met.withColumn("n", F.row_number().over(order)).where("n = 1").select("row.*")
