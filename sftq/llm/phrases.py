@@ -372,9 +372,20 @@ def candidates(docs: DataFrame, least: int = 10) -> DataFrame:
 
 
 def mine(docs: DataFrame, least: int = 10, top: int = 2000) -> DataFrame:
-    """The ``top`` phrases of each language of ``lang, text``, by score."""
+    """The ``top`` phrases of each language of ``lang, text``, by score.
+
+    Only phrases that reach the score and count at which a language's first ``top`` end are
+    ranked, so one language is one short list and ties at its end.
+    """
+    rows = stored(candidates(docs, least))
+    value = F.struct("score", "a")
+    sizes = rows.groupBy("lang", value.alias("value")).agg(F.count("*").alias("size"))
+    above = Window.partitionBy("lang").orderBy(F.desc("value")).rowsBetween(Window.unboundedPreceding, -1)
+    reached = sizes.withColumn("above", F.coalesce(F.sum("size").over(above), F.lit(0))).where(F.col("above") < top)
+    ends = reached.groupBy("lang").agg(F.min("value").alias("end"))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    rows = candidates(docs, least).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    rows = rows.join(ends, "lang").where(value >= F.col("end"))
+    rows = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     return rows.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
