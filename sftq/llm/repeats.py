@@ -15,8 +15,8 @@ Three narrowing steps replace a sort of all suffixes; README gives the reason.
 
 Rows that meet inside a task are settled there and leave one row for the shuffle, so a
 passage that stands in a third of all documents reaches a reducer as a few rows per task.
-Names and runs have 64-bit hashes of different rollers, windows 96 bits, texts 96 bits.
-Texts travel compressed.
+Names and runs have 64-bit hashes of different rollers, windows 96 bits, texts 96 bits. Texts travel
+compressed to the windows; the cut runs in the JVM.
 """
 
 from __future__ import annotations
@@ -27,14 +27,16 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sftq.llm.common import batches_of, binary_list, hashed, stored
 
 BATCH_BYTES = 1 << 20
 #: Bytes of text whose runs are settled together before the shuffle.
-SETTLE_BYTES = 1 << 25
+SETTLE_BYTES = 1 << 23
+#: Windows that are settled together.
+SETTLE_WINDOWS = 1 << 18
 RUNS = "a long, c long, k1 long, k2 int, lo int, n int, kind byte"
 SPANS = "k1 long, k2 int, lo int, n int"
 #: Kinds of a run on its way: one of its name in its task; one that stands for equal ones,
@@ -45,11 +47,17 @@ REPEATED, CHECK = -1, -2
 
 
 class Roller:
-    """Hashes of all substrings of a byte array by prefix sums modulo 2**64."""
+    """Hashes of all substrings of a byte array by prefix sums modulo 2**64.
 
-    def __init__(self, seed: int):
+    The symbols are mixed numbers of ``gram`` neighbouring bytes. Sums of plain bytes would agree
+    for texts of two letters whose differences cancel at every scale, as those of the Thue-Morse
+    sequence do; those of mixed neighbours do not. Substrings are at least ``gram`` bytes long.
+    """
+
+    def __init__(self, seed: int, gram: int = 8):
         rng = np.random.default_rng(seed)
-        self.symbol = rng.integers(0, 2**64, 256, dtype=np.uint64)
+        self.gram, self.mask = gram, np.uint64((1 << 8 * gram) - 1)
+        self.salt, self.first, self.second = (np.uint64(int(rng.integers(0, 2**63)) * 2 + 1) for _ in range(3))
         self.base = int(rng.integers(0, 2**63)) * 2 + 1
         self.power = self.inverse = np.ones(1, np.uint64)
 
@@ -60,15 +68,23 @@ class Roller:
                 steps = np.full(most, base % 2**64, np.uint64)
                 steps[0] = 1
                 setattr(self, name, np.cumprod(steps))
-        self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(self.symbol[data] * self.power[: len(data)], out=self.sums[1:])
+        n = max(0, len(data) + 1 - self.gram)
+        symbols = np.ndarray(n, "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,)) & self.mask
+        symbols ^= self.salt
+        for factor in (self.first, self.second):
+            symbols *= factor
+            symbols ^= symbols >> np.uint64(31)
+        symbols *= self.power[:n]
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(symbols, out=self.sums[1:])
 
     def between(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-        return hashed((self.sums[hi] - self.sums[lo]) * self.inverse[lo])
+        return hashed((self.sums[hi + (1 - self.gram)] - self.sums[lo]) * self.inverse[lo])
 
     def all_of(self, width: int) -> np.ndarray:
-        n = len(self.sums) - width
-        return hashed((self.sums[width:] - self.sums[:n]) * self.inverse[:n])
+        n = max(0, len(self.sums) + self.gram - 1 - width)
+        grams = width + 1 - self.gram
+        return hashed((self.sums[grams : grams + n] - self.sums[:n]) * self.inverse[:n])
 
 
 def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
@@ -141,21 +157,33 @@ def _settle_runs(rows: list[np.ndarray]) -> pa.RecordBatch:
     return _table(RUNS, name, c[take], k1[take], k2[take], lo[take], n[take], kinds)
 
 
+def pieces(text: bytes, width: int) -> Iterator[tuple[int, bytes]]:
+    """A long text in parts that share ``width - 1`` bytes, so that each window is in one part.
+
+    A run that is cut has the same name in both parts; its windows are then compared one by one.
+    """
+    for at in range(0, max(1, len(text) - width + 1), BATCH_BYTES):
+        yield at, text[at : at + BATCH_BYTES + width - 1]
+
+
 def find_runs(batches: Iterator[pa.RecordBatch], width: int, anchor: int) -> Iterator[pa.RecordBatch]:
     """Rows ``text, k1, k2`` to runs."""
-    first, second = Roller(1), Roller(2)
+    first, second = (Roller(seed, min(8, anchor)) for seed in (1, 2))
     held, size = [], 0
     for batch in batches_of(batches, "text", BATCH_BYTES):
-        texts = binary_list(batch.column("text"))
-        found = runs_of(texts, width, anchor, first, second)
-        size += sum(map(len, texts))
-        if found is not None:
-            text, name, whole, start, n = found
-            k1, k2 = (batch.column(k).to_numpy(zero_copy_only=False)[text] for k in ("k1", "k2"))
-            held.append((name, whole, k1, k2, start, n))
-        if size >= SETTLE_BYTES and held:
-            yield _settle_runs([np.concatenate(x) for x in zip(*held, strict=True)])
-            held, size = [], 0
+        own = [(row, at, part) for row, text in enumerate(binary_list(batch.column("text"))) for at, part in pieces(text, width)]
+        k1, k2 = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("k1", "k2"))
+        # Several parts only if they are those of one long text.
+        for parts in [own] if own and own[-1][1] == 0 else [[x] for x in own]:
+            found = runs_of([part for *_, part in parts], width, anchor, first, second)
+            size += sum(len(part) for *_, part in parts)
+            if found is not None:
+                text, name, whole, start, n = found
+                row, at = (np.array([x[k] for x in parts])[text] for k in (0, 1))
+                held.append((name, whole, k1[row], k2[row], (start + at).astype(np.int32), n.astype(np.int32)))
+            if size >= SETTLE_BYTES and held:
+                yield _settle_runs([np.concatenate(x) for x in zip(*held, strict=True)])
+                held, size = [], 0
     if held:
         yield _settle_runs([np.concatenate(x) for x in zip(*held, strict=True)])
 
@@ -240,33 +268,43 @@ def _united(k1: np.ndarray, k2: np.ndarray, lo: np.ndarray, n: np.ndarray) -> tu
     return k1[head], k2[head], lo[head], stop - lo[head]
 
 
+def _settle_windows(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+    h, h2, k1, k2, lo = (np.concatenate(x) for x in zip(*held, strict=True))
+    order = np.lexsort((h2, h))
+    h, h2, k1, k2, lo = (x[order] for x in (h, h2, k1, k2, lo))
+    before, after = _neighbours(h, h2)
+    sent, own = np.flatnonzero(~before), np.flatnonzero(before | after)
+    yield _table(WINDOWS, h[sent], h2[sent], k1[sent], k2[sent], lo[sent], np.ones(len(sent)), np.where(after[sent], SAME, SINGLE))
+    if len(own):
+        k1, k2, lo, n = _united(k1[own], k2[own], lo[own], np.ones(len(own), np.int64))
+        yield _table(WINDOWS, k1, np.zeros(len(k1)), k1, k2, lo, n, np.full(len(k1), REPEATED))
+
+
 def find_windows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """Rows ``zipped, k1, k2, spans`` to windows; equal ones of a batch leave one, and a settled span."""
-    first, second = Roller(3), Roller(4)
-    for batch in batches_of(batches, "zipped", BATCH_BYTES // 4):
-        held = []
-        for zipped, k1, k2, spans in zip(*(batch.column(x).to_pylist() for x in ("zipped", "k1", "k2", "spans")), strict=True):
-            data = np.frombuffer(unzipped(zipped), np.uint8)
-            mark = np.zeros(len(data) + 1, np.int32)
-            for span in spans:
-                mark[span["lo"]] += 1
-                mark[span["lo"] + span["n"]] -= 1
-            lo = np.flatnonzero(np.cumsum(mark) > 0)
-            first.load(data)
-            second.load(data)
-            more = (second.between(lo, lo + width) >> np.uint64(32)).astype(np.uint32).view(np.int32)
-            held.append((first.between(lo, lo + width), more, np.full(len(lo), k1), np.full(len(lo), k2), lo))
-        if not held:
-            continue
-        h, h2, k1, k2, lo = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.lexsort((h2, h))
-        h, h2, k1, k2, lo = (x[order] for x in (h, h2, k1, k2, lo))
-        before, after = _neighbours(h, h2)
-        sent, own = np.flatnonzero(~before), np.flatnonzero(before | after)
-        yield _table(WINDOWS, h[sent], h2[sent], k1[sent], k2[sent], lo[sent], np.ones(len(sent)), np.where(after[sent], SAME, SINGLE))
-        if len(own):
-            k1, k2, lo, n = _united(k1[own], k2[own], lo[own], np.ones(len(own), np.int64))
-            yield _table(WINDOWS, k1, np.zeros(len(k1)), k1, k2, lo, n, np.full(len(k1), REPEATED))
+    """Rows ``zipped, k1, k2, spans`` to windows; equal ones of some leave one, and a settled span.
+
+    One text is unpacked at a time and hashed in parts, so memory follows the longest text.
+    """
+    first, second = (Roller(seed, min(8, width)) for seed in (3, 4))
+    held: list[tuple[np.ndarray, ...]] = []
+    for batch in batches:
+        for zipped, k1, k2, spans in zip(*(batch.column(x) for x in ("zipped", "k1", "k2", "spans")), strict=True):
+            text, spans = unzipped(zipped.as_py()), spans.as_py()
+            every, n = (np.array([s[x] for s in spans], np.int64) for x in ("lo", "n"))
+            key = np.zeros(len(every), np.int64)
+            for _, _, begin, count in zip(*(x.tolist() for x in _united(key, key, every, n)), strict=True):
+                for at in range(begin, begin + count, SETTLE_WINDOWS):
+                    most = min(SETTLE_WINDOWS, begin + count - at)
+                    data = np.frombuffer(text, np.uint8, most + width - 1, at)
+                    first.load(data)
+                    second.load(data)
+                    more = (second.all_of(width) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                    held.append((first.all_of(width), more, np.full(most, k1.as_py()), np.full(most, k2.as_py(), np.int32), np.arange(at, at + most, dtype=np.int32)))
+                    if sum(len(x[0]) for x in held) >= SETTLE_WINDOWS:
+                        yield from _settle_windows(held)
+                        held = []
+    if held:
+        yield from _settle_windows(held)
 
 
 def judge_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,21 +329,6 @@ def _unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _table(SPANS, *_united(*(batch.column(x).to_numpy() for x in ("k1", "k2", "lo", "n"))))
 
 
-def cut_out(text: bytes, spans: list[dict], width: int) -> tuple[list[tuple[int, int]], bytes]:
-    """Removed byte ranges of a text, united, and the bytes that stay."""
-    ranges: list[tuple[int, int]] = []
-    for lo, hi in sorted((s["lo"], s["lo"] + s["n"] + width - 1) for s in spans):
-        if ranges and lo <= ranges[-1][1]:
-            ranges[-1] = (ranges[-1][0], max(hi, ranges[-1][1]))
-        else:
-            ranges.append((lo, hi))
-    stay, at = [], 0
-    for lo, hi in ranges:
-        stay.append(text[at:lo])
-        at = hi
-    return ranges, b"".join([*stay, text[at:]])
-
-
 def zipped_column(text: Column) -> Column:
     @F.pandas_udf("binary")
     def packed(texts: pd.Series) -> pd.Series:
@@ -326,7 +349,7 @@ def text_keys(text: Column) -> list[Column]:
 
 
 def repeated_spans(docs: DataFrame, width: int = 400, anchor: int = 256, text: str = "text") -> DataFrame:
-    """``k1, k2, spans``: for each text with repeated windows, runs of their starts (``lo``, ``n``).
+    """``k1, k2, lo, n``: for each text with repeated windows, runs of their starts; some overlap.
 
     ``k1, k2`` are two hashes of the text: equal texts repeat in the same places.
     """
@@ -339,37 +362,53 @@ def repeated_spans(docs: DataFrame, width: int = 400, anchor: int = 256, text: s
     windows = packed.join(todo, ["k1", "k2"]).mapInArrow(lambda batches: find_windows(batches, width), WINDOWS)
     late = windows.repartition("h").sortWithinPartitions("h", "h2").mapInArrow(judge_windows, SPANS)
     every = spans.where(F.col("kind") == REPEATED).drop("kind").unionByName(late)
-    return every.mapInArrow(_unite, SPANS).groupBy("k1", "k2").agg(F.collect_set(F.struct("lo", "n")).alias("spans"))
+    return every.mapInArrow(_unite, SPANS)
+
+
+def removed_ranges(spans: DataFrame, width: int) -> DataFrame:
+    """``k1, k2, ranges``: for each text the byte ranges ``a`` to ``b`` that the windows cover, united and in order."""
+    rows = spans.select("k1", "k2", F.col("lo").alias("a"), (F.col("lo") + F.col("n") + (width - 1)).alias("b"))
+    text = Window.partitionBy("k1", "k2").orderBy("a", "b")
+    reach = F.max("b").over(text.rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("opens", F.when(F.col("a") <= reach, 0).otherwise(1))
+    rows = rows.withColumn("no", F.sum("opens").over(text.rowsBetween(Window.unboundedPreceding, 0)))
+    ranges = rows.groupBy("k1", "k2", "no").agg(F.min("a").alias("a"), F.max("b").alias("b"))
+    return ranges.groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("ranges"))
 
 
-RESULT = "n_bytes long, n_removed long, n_spans long, kept binary"
+def remaining(data: Column, ranges: Column) -> Column:
+    """The bytes of a binary column outside of ``ranges``."""
+    size = F.octet_length(data)
+    end = lambda i: F.coalesce(F.get(ranges, i)["a"], size)
+    begin = lambda i: F.coalesce(F.get(ranges, i - 1)["b"], F.lit(0))
+    # Joined as text of one character a byte: arrays of bytes have no join that copies once.
+    part = lambda i: F.decode(F.substring(data, begin(i) + 1, end(i) - begin(i)), "ISO-8859-1")
+    return F.encode(F.array_join(F.transform(F.sequence(F.lit(0), F.size(ranges)), part), ""), "ISO-8859-1")
 
 
 def remove_repeats(docs: DataFrame, width: int = 400, anchor: int = 256, text: str = "text") -> DataFrame:
     """All rows of ``docs``, ``text`` replaced by what stays of it, and ``repeat_cut``.
 
     ``repeat_cut`` has ``n_bytes, n_removed, n_spans, kept``; ``kept`` is the remaining bytes,
-    which need not be valid UTF-8. A null text counts as empty; shorter texts than ``width``
-    stay whole; repeated rows are copies of each other and lose all they share. A column
-    of ``docs`` named ``repeat_cut`` is replaced.
+    which need not be valid UTF-8. A null text counts as empty and comes back empty; shorter texts
+    than ``width`` stay whole; repeated rows are copies of each other and lose all they share; a
+    long text is worked on in parts. A string has no ties to break: every place of it goes. An empty
+    table gives an empty result. Other columns stay as they are, whatever their names; only one
+    named ``repeat_cut`` is replaced.
     """
-    spans = repeated_spans(docs, width, anchor, text)
-    value = F.col(f"`{text}`")
-    kept = [F.col(f"`{c}`") for c in docs.columns if c != text and c.lower() != "repeat_cut"]
-    rows = docs.select(F.struct(F.lit(0).alias("_"), *kept).alias("row"), zipped_column(value).alias("zipped"), *text_keys(value))
-
-    @F.pandas_udf(RESULT)
-    def cut(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
-        rows = []
-        for zipped, own in zip(texts, spans, strict=True):
-            value = unzipped(zipped)
-            ranges, kept = cut_out(value, [] if own is None else list(own), width)
-            rows.append((len(value), len(value) - len(kept), len(ranges), kept))
-        return pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept"])
-
-    out = rows.join(spans, ["k1", "k2"], "left").select("row", cut("zipped", "spans").alias("repeat_cut"))
+    ranges = stored(removed_ranges(repeated_spans(docs, width, anchor, text), width))
+    value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     names = [c for c in docs.columns if c.lower() != "repeat_cut"]
-    back = [F.make_valid_utf8(F.col("repeat_cut.kept").cast("string")).alias(c) if c == text else F.col("row")[c].alias(c) for c in names]
+    kept = [F.col(f"`{c}`") for c in names if c != text]
+    rows = docs.select(F.struct(F.struct(*kept).alias("rest") if kept else F.lit(0).alias("rest")).alias("row"), value.alias("text"), *text_keys(value))
+    out = rows.join(ranges, ["k1", "k2"], "left")
+    data = F.col("text").cast("binary")
+    stay = F.when(F.isnull("ranges"), data).otherwise(remaining(data, F.col("ranges")))
+    lost = F.coalesce(F.aggregate("ranges", F.lit(0).cast("long"), lambda n, r: n + r["b"] - r["a"]), F.lit(0).cast("long"))
+    count = F.when(F.isnull("ranges"), 0).otherwise(F.size("ranges")).cast("long")
+    cut = F.struct(F.octet_length("text").cast("long").alias("n_bytes"), lost.alias("n_removed"), count.alias("n_spans"), stay.alias("kept"))
+    out = out.select("row", cut.alias("repeat_cut"))
+    back = [F.make_valid_utf8(F.col("repeat_cut.kept").cast("string")).alias(c) if c == text else F.col("row.rest")[c].alias(c) for c in names]
     return out.select(*back, "repeat_cut")
 
 
