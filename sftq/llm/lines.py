@@ -1,9 +1,18 @@
 """Removal of repeated blocks of lines, cut where their content says so.
 
-A rolling hash over the hashes of neighbouring lines decides after which lines a document
-is cut, so a passage is cut in the same places wherever it stands, whatever comes before
-it. Chunks of several lines that occur more than once anywhere are compared byte by byte;
-the first stays, the others go.
+Each line with words starts a chunk, and the chunk ends with the next line with words, with
+the blank lines between: boundaries follow from the lines themselves, so a passage is cut
+in the same places wherever it stands and whatever comes before it. A rolling hash over
+the two line hashes names a chunk; chunks whose name occurs more than once anywhere are
+compared byte by byte. The first stays, and all lines of the others go. A block of any number of
+lines is the union of its chunks, so none of two lines and more is missed. Sparser cuts, by a
+remainder of the rolling hash, miss most short blocks; README has figures.
+
+* A null text stays null and an empty one empty; neither has lines to lose. A document may end up empty.
+* First is by ``doc_id``, null last, then by place. Rows equal in ``doc_id`` and ``text`` are one
+  document and keep the same lines. Of a run of one line the first stays.
+* Texts are taken whole; work is in proportion to their length, a chunk is two lines however long.
+* An empty table gives an empty result. All other columns stay as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -13,41 +22,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sftq.llm.common import BLANKS, stored
+from sftq.llm.common import BLANKS, stored, whole_rows
 
-#: A line is a candidate for a cut if the rolling hash leaves no remainder by this.
-DIVISOR = 2
-FACTOR = 31
-#: Up to so many rows of 8 to 100 bytes are sent to all tasks; more are joined by a shuffle.
-BROADCAST_ROWS = 500_000
-
-
-def small(df: DataFrame) -> DataFrame:
-    """A stored table, marked for broadcast if it is short."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
-def line_hash(line: Column) -> Column:
-    return F.conv(F.substring(F.md5(line.cast("binary")), 1, 8), 16, 10).cast("long")
-
-
-def chunks_of(text: Column) -> Column:
-    """Chunks of a text as arrays of lines; null has none.
-
-    Cut after a line whose rolling hash, over it and the line before, has no remainder,
-    unless that holds for the line before too: so chunks have two lines at least, but for
-    a document's first and last.
-    """
-    lines = F.split(text, "\n", -1)
-    hashes = lambda own: F.transform(own, line_hash)
-    rolled = lambda own: F.transform(own, lambda h, i: (h + FACTOR * F.coalesce(F.get(own, i - 1), F.lit(0))) % DIVISOR == 0)
-    ends = lambda own: F.filter(
-        F.transform(own, lambda cut, i: F.when((i == F.size(own) - 1) | (cut & ~F.coalesce(F.get(own, i - 1), F.lit(False))), i)),
-        lambda i: i.isNotNull(),
-    )
-    spans = lambda own: F.transform(own, lambda end, k: F.struct((F.coalesce(F.get(own, k - 1), F.lit(-1)) + 1).alias("a"), end.alias("b")))
-    marks = lambda own: once(once(once(hashes(own), rolled), ends), spans)
-    return once(lines, lambda own: F.transform(marks(own), lambda s: F.slice(own, s["a"] + 1, s["b"] - s["a"] + 1)))
+FACTOR = 1_000_003
+#: Bits of the filter that is sent to all tasks, in words of 64: 8 MB, however many chunks repeat.
+FILTER_WORDS = 1 << 20
 
 
 def once(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -58,59 +37,74 @@ def once(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _keys(docs: DataFrame) -> list[Column]:
+def chunks_of(text: Column) -> Column:
+    """Chunks of a text as structs ``a, b, h``: first and last line, from 0, and the rolling hash."""
+    worded = lambda own: F.filter(
+        F.transform(own, lambda line, i: F.when(line.rlike(f"[^{BLANKS}]"), F.struct(i.alias("i"), F.xxhash64(line).alias("h")))),
+        lambda x: x.isNotNull(),
+    )
+    chunk = lambda a, b: F.struct(a["i"].alias("a"), b["i"].alias("b"), F.xxhash64(a["h"], b["h"], F.lit(FACTOR)).alias("h"))
+    pairs = lambda own: F.transform(F.slice(own, 1, F.greatest(F.size(own) - 1, F.lit(0))), lambda x, k: chunk(x, F.get(own, k + 1)))
+    return once(worded(F.split(text, "\n", -1)), pairs)
+
+
+def _keys() -> list[Column]:
     """Two hashes of identifier and text: rows equal in both are one document."""
     return [F.xxhash64("doc_id", "text").alias("k1"), F.hash("doc_id", "text").alias("k2")]
 
 
-def _exploded(docs: DataFrame) -> DataFrame:
-    """``k1, k2, doc_id, no, chunk, h`` for the chunks with two lines that hold words."""
-    words = lambda line: line.rlike(f"[^{BLANKS}]")
-    chunks = F.filter(
-        F.transform(chunks_of(F.col("text")), lambda c, i: F.struct(i.alias("no"), c.alias("lines"))),
-        lambda c: F.size(F.filter(c["lines"], words)) >= 2,
-    )
-    rows = docs.select(*_keys(docs), "doc_id", F.explode(chunks).alias("c"))
-    rows = rows.select("k1", "k2", "doc_id", "c.no", F.array_join("c.lines", "\n").alias("chunk"))
-    return rows.withColumn("h", F.xxhash64("chunk"))
+def _word(h: Column) -> Column:
+    return F.shiftrightunsigned(h, 6).bitwiseAND(FILTER_WORDS - 1)
+
+
+def _bit(h: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(63).cast("int"))
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """``k1, k2, gone``: numbers of the chunks of each document that stand earlier elsewhere.
+    """``k1, k2, a, b``: lines of the chunks of each document that stand earlier elsewhere.
 
-    Hashes find candidates; texts decide. Earlier is by ``doc_id``, null last, then place.
+    Hashes find candidates, and a filter of fixed size keeps the texts of most others where they
+    are; grouping by text decides, and compares copies within a task before any are sent.
     """
-    rows = _exploded(docs)
-    often = stored(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
-    met = stored(rows.join(small(often), "h", "left_semi"))
-    place = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "k1", "k2", "no")
-    firsts = met.groupBy("h", "chunk").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").drop("n")
-    later = met.join(firsts, ["h", "chunk"]).where(~place.eqNullSafe(F.col("first")))
-    return stored(later.groupBy("k1", "k2").agg(F.collect_set("no").alias("gone")))
+    names = docs.select(F.explode(chunks_of(F.col("text"))).alias("c")).select("c.h")
+    often = stored(names.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
+    bits = often.groupBy(_word(F.col("h")).alias("word")).agg(F.bit_or(_bit(F.col("h"))).alias("bits"))
+    rows = docs.where("text IS NOT NULL").select(*_keys(), "doc_id", "text", F.explode(chunks_of(F.col("text"))).alias("c"))
+    rows = rows.withColumn("word", _word(F.col("c.h"))).join(F.broadcast(bits), "word").where(_bit(F.col("c.h")).bitwiseAND(F.col("bits")) != 0)
+    # The text is cut only here, so that other chunks are never built.
+    chunk = F.array_join(F.slice(F.split("text", "\n", -1), F.col("c.a") + 1, F.col("c.b") - F.col("c.a") + 1), "\n")
+    rows = rows.select("k1", "k2", "doc_id", "c.a", "c.b", "c.h", chunk.alias("chunk"))
+    met = stored(rows.withColumn("digest", F.sha2("chunk", 256)))
+    place = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "k1", "k2", "a")
+    firsts = met.groupBy("h", "chunk").agg(F.count("*").alias("n"), F.min(place).alias("first"), F.first("digest").alias("digest")).where("n > 1")
+    firsts = stored(firsts.select("h", "digest", "first"))
+    # Each row finds its class again by the digest; the bytes were compared above.
+    later = met.drop("chunk").join(firsts, ["h", "digest"]).where(~place.eqNullSafe(F.col("first")))
+    return later.select("k1", "k2", "a", "b")
+
+
+def lines_gone(docs: DataFrame) -> DataFrame:
+    """``k1, k2, gone``: numbers of the lines that each document loses."""
+    rows = repeated_chunks(docs).select("k1", "k2", F.explode(F.sequence("a", "b")).alias("i"))
+    return rows.groupBy("k1", "k2").agg(F.collect_set("i").alias("gone"))
 
 
 def drop_repeated(docs: DataFrame, verdicts: bool = False) -> DataFrame:
-    """``docs`` with ``text`` freed of repeated chunks; with ``verdicts`` also ``n_lines, n_gone``.
-
-    A chunk needs two lines with words to count; blank lines go only with such a chunk. A
-    null text stays null. Rows equal in ``doc_id`` and ``text`` are one document and keep
-    the same lines; a document may end up empty. All other columns stay as they are.
-    """
-    gone = repeated_chunks(docs.select("doc_id", "text"))
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    rows = docs.select(F.struct(*names).alias("row"), *_keys(docs))
-    rows = rows.join(small(gone), ["k1", "k2"], "left")
-    chunks = F.transform(chunks_of(F.col("row.text")), lambda c, i: F.struct(i.alias("no"), c.alias("lines")))
-    kept = F.filter(chunks, lambda c: ~F.array_contains("gone", c["no"]))
-    text = F.array_join(F.flatten(F.transform(kept, lambda c: c["lines"])), "\n")
-    text = F.when(F.isnull("gone"), F.col("row.text")).otherwise(text)
+    """``docs`` with ``text`` freed of repeated blocks; with ``verdicts`` also ``n_lines, n_gone``."""
+    gone = stored(lines_gone(docs.select("doc_id", "text")))
+    rows = whole_rows(docs).select("row", F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"))
+    # A sort-merge join at every size: the lists of lost lines have no bound that a broadcast could rely on.
+    rows = rows.select("row", *_keys()).join(gone.hint("merge"), ["k1", "k2"], "left")
+    kept = lambda own: F.array_except(F.sequence(F.lit(0), F.size(own) - 1), "gone")
+    left = once(F.split("row.text", "\n", -1), lambda own: F.array_join(F.transform(kept(own), lambda i: F.get(own, i)), "\n"))
+    text = F.when(F.isnull("gone") | F.isnull("row.text"), F.col("row.text")).otherwise(left)
     out = [text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns]
     if not verdicts:
         return rows.select(*out)
-    count = lambda t: F.coalesce(F.size(F.split(t, "\n", -1)), F.lit(0))
-    lost = F.aggregate(F.filter(chunks, lambda c: F.array_contains("gone", c["no"])), F.lit(0), lambda n, c: n + F.size(c["lines"]))
-    before = F.when(F.isnull("row.text"), 0).otherwise(count(F.col("row.text")))
-    return rows.select(*out, before.alias("n_lines"), F.when(F.isnull("gone"), 0).otherwise(lost).alias("n_gone"))
+    count = F.when(F.isnull("row.text"), 0).otherwise(F.size(F.split("row.text", "\n", -1)))
+    lost = F.when(F.isnull("gone"), 0).otherwise(F.size("gone"))
+    return rows.select(*out, count.alias("n_lines"), lost.alias("n_gone"))
 
 
 def digest(docs: DataFrame) -> DataFrame:
@@ -119,30 +113,21 @@ def digest(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_gone", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
+#: Lists repeated blocks directly: neighbouring lines with words that stand earlier.
 ORACLE = r"""
-WITH docs AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
-lines AS (
-  SELECT r, doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM docs
-),
-hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM lines),
-rolled AS (SELECT *, (h + 31 * coalesce(lag(h) OVER (PARTITION BY r ORDER BY i), 0)) % 2 = 0 AS cut FROM hashed),
-ends AS (SELECT *, cut AND NOT coalesce(lag(cut) OVER (PARTITION BY r ORDER BY i), false) AS ending FROM rolled),
-numbered AS (
-  SELECT *, coalesce(sum(ending::INT) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS no FROM ends
-),
-chunks AS (
-  SELECT r, doc_id, text, no, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) AS n,
-    count(*) FILTER (regexp_matches(line, '[^\x20\x09-\x0D]')) AS worded
-  FROM numbered GROUP BY ALL
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, text, string_split(text, chr(10)) AS own FROM documents),
+lines AS (SELECT r, unnest(own) AS line, generate_subscripts(own, 1) AS i FROM docs),
+worded AS (SELECT r, i AS a, lead(i) OVER (PARTITION BY r ORDER BY i) AS b FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+blocks AS (
+  SELECT r, doc_id, text, a, b, array_to_string(own[a:b], chr(10)) AS block FROM worded JOIN docs USING (r) WHERE b IS NOT NULL
 ),
-marked AS (
-  SELECT *, worded >= 2 AND (doc_id, text, no) IS DISTINCT FROM
-    first_value((doc_id, text, no)) OVER (PARTITION BY chunk, worded >= 2 ORDER BY doc_id NULLS LAST, no) AS gone
-  FROM chunks
+later AS (
+  SELECT r, a, b, (doc_id, text, a) IS DISTINCT FROM first_value((doc_id, text, a)) OVER (PARTITION BY block ORDER BY doc_id NULLS LAST, a) AS gone FROM blocks
 ),
+gone AS (SELECT DISTINCT r, unnest(range(a, b + 1)) AS i FROM later WHERE gone),
 kept AS (
-  SELECT r, sum(n) AS n_lines, coalesce(sum(n) FILTER (gone), 0) AS n_gone, string_agg(chunk, chr(10) ORDER BY no) FILTER (NOT gone) AS text
-  FROM marked GROUP BY r
+  SELECT r, count(*) AS n_lines, count(gone.i) AS n_gone, string_agg(line, chr(10) ORDER BY lines.i) FILTER (gone.i IS NULL) AS text
+  FROM lines LEFT JOIN gone USING (r, i) GROUP BY r
 )
 SELECT d.doc_id, coalesce(n_lines, 0)::INTEGER AS n_lines, coalesce(n_gone, 0)::INTEGER AS n_gone,
   CASE WHEN d.text IS NOT NULL THEN md5(coalesce(k.text, '')) END AS text_md5
