@@ -24,7 +24,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
@@ -32,11 +31,11 @@ from pyspark.sql import functions as F
 
 from sftq.llm.common import batches_of, binary_list, hashed, stored
 
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
 #: Bytes of text whose runs are settled together before the shuffle.
 SETTLE_BYTES = 1 << 23
 #: Windows that are settled together.
-SETTLE_WINDOWS = 1 << 18
+SETTLE_WINDOWS = 1 << 17
 RUNS = "a long, c long, k1 long, k2 int, lo int, n int, kind byte"
 SPANS = "k1 long, k2 int, lo int, n int"
 #: Kinds of a run on its way: one of its name in its task; one that stands for equal ones,
@@ -329,13 +328,12 @@ def _unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _table(SPANS, *_united(*(batch.column(x).to_numpy() for x in ("k1", "k2", "lo", "n"))))
 
 
-def zipped_column(text: Column) -> Column:
-    @F.pandas_udf("binary")
-    def packed(texts: pd.Series) -> pd.Series:
-        pack = zstandard.ZstdCompressor()
-        return texts.map(lambda x: pack.compress(x or b""))
-
-    return packed(text.cast("binary"))
+def zip_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``text, k1, k2`` with the text compressed, some at a time."""
+    pack = zstandard.ZstdCompressor()
+    for batch in batches_of(batches, "text", BATCH_BYTES):
+        zipped = pa.array([pack.compress(x) for x in binary_list(batch.column("text"))], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("k1"), batch.column("k2"), zipped], ["k1", "k2", "zipped"])
 
 
 def unzipped(value: bytes) -> bytes:
@@ -358,7 +356,7 @@ def repeated_spans(docs: DataFrame, width: int = 400, anchor: int = 256, text: s
     runs = keyed.mapInArrow(lambda batches: find_runs(batches, width, anchor), RUNS)
     spans = stored(runs.repartition("a").sortWithinPartitions("a", F.col("kind") != MIXED, "c").mapInArrow(judge_runs, JUDGED))
     todo = spans.where(F.col("kind") == CHECK).groupBy("k1", "k2").agg(F.collect_set(F.struct("lo", "n")).alias("spans"))
-    packed = keyed.select("k1", "k2", zipped_column(F.col("text")).alias("zipped"))
+    packed = keyed.mapInArrow(zip_texts, "k1 long, k2 int, zipped binary")
     windows = packed.join(todo, ["k1", "k2"]).mapInArrow(lambda batches: find_windows(batches, width), WINDOWS)
     late = windows.repartition("h").sortWithinPartitions("h", "h2").mapInArrow(judge_windows, SPANS)
     every = spans.where(F.col("kind") == REPEATED).drop("kind").unionByName(late)

@@ -105,8 +105,11 @@ def test_run_and_registration(spark, steps):
     got = Counter(tuple(r) for r in corpus_pipeline.run(spark, root).select(columns).collect())
     assert got == Counter(tuple(r) for r in out[-1][1].select(columns).collect())
     names = [n for n in queries() if n.startswith("op") or n == "pipeline"]
-    assert len(names) == 11
-    assert set(oracle_sql()) & set(names) == {"op1_nearest_neighbours", "op2_url_filters", "op5_line_dedup"}
+    assert len(names) == 14
+    assert set(oracle_sql()) & set(names) == {
+        "op1_nearest_neighbours", "op2_url_filters", "op5_line_dedup",
+        "op11_secret_scans", "op12_phrase_collocations", "op13_source_divergence",
+    }
 
 
 def test_nothing_in_nothing_out(spark):
