@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+from sftq.sources.scratch import written
+
 PARTS = pa.schema([("shard", pa.string()), ("chunk", pa.int64()), ("serial", pa.int64()), ("file", pa.string())])
 COPY_BYTES = 1 << 24
 
@@ -126,17 +128,36 @@ def _place(batches: Iterator[pa.RecordBatch], path: str, staging: str) -> Iterat
         yield batch.select(["shard"])
 
 
+def dealt(rows: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """Rows ``shard, chunk, line`` and those of ``order`` in tasks, each sorted; no shard is bound to one task.
+
+    With ``order``, a chunk is one task's. Rows without the column ``chunk`` are stored, dealt by ranges
+    of shard and order, and take the number of their range as their chunk. Without ``order`` any task
+    may write any row of a chunk: adaptive execution cuts what is too large for one and joins what is small.
+    """
+    chunked = "chunk" in rows.columns
+    if not order:
+        rows = rows if chunked else rows.withColumn("chunk", F.lit(0))
+        rows = rows.hint("rebalance", "shard", "chunk").sortWithinPartitions("shard", "chunk")
+    elif chunked:
+        rows = rows.repartition("shard", "chunk").sortWithinPartitions("shard", "chunk", *order)
+    else:
+        # Stored, as ranges are found by a look at the rows before they are dealt.
+        rows = written(rows).repartitionByRange("shard", *order).sortWithinPartitions("shard", *order)
+        rows = rows.withColumn("chunk", F.spark_partition_id())
+    return rows.select("shard", F.col("chunk").cast("long"), "line")
+
+
 def write_shards(rows: DataFrame, path: str, shards: DataFrame | None = None, order: Sequence[str] = ()) -> None:
     """Rows ``shard, chunk, line`` as files below ``path``; ``shards`` names files that must exist, rows or not.
 
-    A chunk of a shard is written by one task, in ``order``; chunks follow each other by number.
-    Files that are there already are replaced.
+    Chunks of a shard follow each other by number, and the lines of a chunk in ``order``; ``chunk`` may be
+    missing. Files that are there already are replaced.
     """
     spark = rows.sparkSession
     spark.dataSource.register(ShardSink)
     staging = f"{path.rstrip('/')}/_staging-{uuid.uuid4().hex}"
-    dealt = rows.repartition("shard", "chunk").sortWithinPartitions("shard", "chunk", *order)
-    dealt.select("shard", F.col("chunk").cast("long"), "line").write.format("sftq_shards").option("staging", staging).mode("append").save()
+    dealt(rows, order).write.format("sftq_shards").option("staging", staging).mode("append").save()
     parts = spark.read.schema("shard string, chunk long, serial long, file string").parquet(f"{staging}/parts.parquet")
     files = F.transform(F.sort_array(F.collect_list(F.struct("chunk", "serial", "file"))), lambda p: p["file"])
     todo = parts.groupBy("shard").agg(files.alias("files"))

@@ -62,12 +62,13 @@ def write_scored(
 ) -> None:
     """JSON lines, one file for each shard at the shard's own path below ``path``.
 
-    ``chunk`` numbers runs of a shard's lines in their order; each is written by one task, so
-    a large shard is written by many. Without it a shard is one run. ``shards`` (column
-    ``rel_path``) names the shards that get a file even without lines.
+    ``chunk`` numbers runs of a shard's lines in their order; with ``order`` each is written by one
+    task, so a large shard is written by many. Without it a shard is cut by ranges of ``order``, for
+    which the lines are stored once, or anywhere if there is none. ``shards`` (column ``rel_path``)
+    names the shards that get a file even without lines.
     """
-    part = F.lit(0) if chunk is None else chunk
-    rows = df.select(F.col(shard).alias("shard"), part.cast("long").alias("chunk"), F.col(line).alias("line"), *[F.col(c).alias(f"_{c}") for c in order])
+    part = [] if chunk is None else [chunk.cast("long").alias("chunk")]
+    rows = df.select(F.col(shard).alias("shard"), *part, F.col(line).alias("line"), *[F.col(c).alias(f"_{c}") for c in order])
     write_shards(rows, path, None if shards is None else shards.select(F.col("rel_path").alias("shard")), [f"_{c}" for c in order])
 
 

@@ -2,12 +2,14 @@
 
 import json
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from sftq.operators.select import limit_global
 from sftq.plans.run import filter_files
+from sftq.sources import shards
 from sftq.sources.jsonl import first_files, first_records, list_shards, scan_records
 from sftq.sources.shards import opened
 from sftq.sources.sinks import read_scored, write_scored, write_summary
@@ -96,6 +98,33 @@ def test_one_file_for_each_shard_at_its_path(spark, tmp_path):
     assert tree(tmp_path / "none") == {"empty.jsonl": "", "z/none.jsonl": "", "d/a b.jsonl": ""}
 
 
+@pytest.mark.parametrize("order", [[], ["i"]])
+def test_one_large_shard_is_written_by_many_tasks(spark, tmp_path, monkeypatch, order):
+    kept, here = [], os.getpid()
+    left = SimpleNamespace(delete_dir=kept.append)  # leaves the staging folder, which lists what tasks have written
+    small = [f"spark.sql.adaptive.{c}" for c in ("advisoryPartitionSizeInBytes", "coalescePartitions.minPartitionSize")]
+    for name in small:
+        spark.conf.set(name, "64k")
+    monkeypatch.setattr(shards, "opened", lambda path: (left, path) if os.getpid() == here else opened(path))
+    try:
+        line = F.concat_ws(" ", F.lpad("id", 5, "0"), F.sha2(F.col("id").cast("string"), 512), F.sha2((-F.col("id")).cast("string"), 512))
+        df = spark.range(8000, 0, -1, 8).select(F.lit("a.jsonl").alias("rel_path"), F.when(F.col("id") > 9, F.col("id")).alias("i"), line.alias("line"))
+        df = df.unionByName(spark.createDataFrame([("b.jsonl", 1, "one")], df.schema))
+        write_scored(df, str(tmp_path), order=order)
+    finally:
+        for name in small:
+            spark.conf.unset(name)
+    parts = spark.read.parquet(f"{kept[-1]}/parts.parquet").where("shard = 'a.jsonl'").select("file").collect()
+    assert len(parts) >= 4
+    sizes = [(tmp_path / kept[-1] / x.file).stat().st_size for x in parts]
+    assert max(sizes) < sum(sizes) / 3
+    lines = (tmp_path / "a.jsonl").read_text().splitlines()
+    want = [r.line for r in df.where("rel_path = 'a.jsonl'").collect()]
+    assert (tmp_path / "b.jsonl").read_text() == "one\n" and sorted(lines) == sorted(want)
+    if order:
+        assert sorted(lines[:9]) == sorted(want)[:9] and lines[9:] == sorted(want)[9:]  # nulls first
+
+
 def test_paths_outside_the_folder_are_refused(spark, tmp_path):
     for name in ("../x", "/x", "a/../../x", ""):
         with pytest.raises(Exception, match="not a path below"):
