@@ -15,14 +15,19 @@ MODEL = "stub"
 
 
 def make_stub():
-    """A scorer whose score follows from the prompt's length; even lengths need a second try."""
+    """A scorer whose score follows from the prompt's length; even lengths need a second try.
+
+    A second try is the next call after the first one, so only that one's prompts are remembered.
+    """
     seen = set()
 
     def scorer(prompts):
+        nonlocal seen
+        before, seen = seen, set()
         replies = []
         for prompt in prompts:
             n = len(prompt)
-            if n % 2 == 0 and prompt not in seen:
+            if n % 2 == 0 and prompt not in before:
                 seen.add(prompt)
                 replies.append({"ok": True, "text": "thinking", "raw": {"done_reason": "stop"}})
                 continue

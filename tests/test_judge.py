@@ -1,11 +1,15 @@
 import json
 import sys
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from sftq.catalog.judge import make_stub
 from sftq.operators.judge import ask, checklist, judge, parse_judgement, resolve_attempts
+from sftq.operators.validate import _parser_verdict
 from sftq.plans.evaluate import evaluate_records
 
 
@@ -102,6 +106,54 @@ def test_scorers_get_small_batches(spark, size):
     assert len(sizes) == 20 and max(sizes) == min(size, 20)
 
 
+def test_texts_are_unpacked_as_they_are_asked(spark):
+    def make():
+        tracemalloc.start()
+        left = [600]
+
+        def scorer(prompts):
+            peak = tracemalloc.get_traced_memory()[1]
+            left[0] -= len(prompts)
+            if not left[0]:
+                tracemalloc.stop()
+            return [{"ok": True, "text": "{}", "error": None, "raw": {"eval_count": peak}} for _ in prompts]
+
+        return scorer
+
+    rows = spark.range(1000).coalesce(1).select(F.when(F.col("id") % 5 < 3, F.concat("id", F.repeat(F.lit("x"), 50_000))).alias("p"))
+    out = rows.select(F.length("p").alias("n"), judge(F.col("p"), make).alias("r")).collect()
+    assert len(out) == 1000 and all((r.n is None) == (r.r.ok is None) for r in out)
+    peaks = [json.loads(r.r.raw)["eval_count"] for r in out if r.n is not None]
+    assert len(peaks) == 600 and max(peaks) < 40 << 20  # Arrow's batch of 30 MB, 3 MB a call
+
+
+def test_parsers_hold_one_text_at_a_time():
+    payload = pa.array(['{"a": "%s"}' % ("x" * 100_000)] * 300 + [None, "{"])
+    tracemalloc.start()
+    try:
+        got = _parser_verdict.func(pa.array(["JSON"] * 302), payload)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert got.field("ok").to_pylist() == [True] * 300 + [None, False]
+    assert peak < 3 << 20  # 30 MB in all
+
+
+def test_the_stub_forgets_what_it_has_answered():
+    scorer = make_stub()
+    tracemalloc.start()
+    try:
+        for k in range(50):
+            prompts = [f"{k:04}{i:04}".ljust(10_000 + i % 2) for i in range(64)]
+            replies = ask(scorer, [*prompts, prompts[0], prompts[1]])
+            assert all(json.loads(r["text"])["score"] == len(p) % 101 for p, r in zip([*prompts, *prompts[:2]], replies, strict=True))
+        prompts = replies = None
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert held < 2 << 20  # 16 MB were asked twice
+
+
 def test_failed_call_keeps_text_and_error(spark):
     df = spark.createDataFrame([(" x ", False, "http_error: 500")], "text string, ok boolean, error string")
     assert tuple(parse_judgement(df).first().judgement) == (False, 0, "", " x ", "http_error: 500")
